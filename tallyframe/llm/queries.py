@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import linkage, variants
+from tallyframe.llm import linkage, packing, tokens, truncation, variants
 from tallyframe.session import table
 
 
@@ -21,5 +21,21 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.found_pairs(table(spark, d, "parse_manifest"), table(spark, d, "legislators_current"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_linked, p5_found)}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode(table(spark, d, "documents"))
+
+
+def p9_filled(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(table(spark, d, "documents"), capacity=2048)
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.found(table(spark, d, "documents"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.rates(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_linked, p5_found, p8_ids, p9_filled, p10_found, p10_rates)}
 ORACLE: dict[str, str] = {}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import linkage, packing, tokens, truncation, variants
+from tallyframe.llm import linkage, packing, quota, stable, tokens, truncation, variants
 from tallyframe.session import table
 
 
@@ -17,6 +18,33 @@ def p1_linked(spark: SparkSession, d: str) -> DataFrame:
     return linkage.link(table(spark, d, "filings"), table(spark, d, "legislators_current"))
 
 
+DIMENSIONS = {"pdf_class": F.col, "code": lambda _: F.col("filing_type.code"), "parse_status": F.col}
+SAMPLE_SIZE = 1000
+
+
+def _dimensions() -> dict:
+    return {name: column(name) for name, column in DIMENSIONS.items()}
+
+
+def p2_sample(spark: SparkSession, d: str) -> DataFrame:
+    """The reviewer's sample."""
+    return quota.draw(table(spark, d, "filings"), _dimensions(), table(spark, d, "sample_targets"), SAMPLE_SIZE)
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    """Each target with what was available and sampled."""
+    return quota.plan(table(spark, d, "filings"), _dimensions(), table(spark, d, "sample_targets"), SAMPLE_SIZE)[1]
+
+
+def _stratum():
+    return F.concat_ws("/", F.coalesce("pdf_class", F.lit("unknown")), F.when(F.col("filing_type.code") == "P", "ptr").otherwise("other"))
+
+
+def p3_sample(spark: SparkSession, d: str) -> DataFrame:
+    """A tenth of each stratum, at least about 50 documents while it is small."""
+    return stable.sample(table(spark, d, "filings"), "doc_id", _stratum(), 0.1, 50, "review")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.found_pairs(table(spark, d, "parse_manifest"), table(spark, d, "legislators_current"))
 
@@ -37,5 +65,18 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.rates(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_linked, p5_found, p8_ids, p9_filled, p10_found, p10_rates)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_linked, p2_sample, p2_report, p3_sample, p5_found, p8_ids, p9_filled, p10_found, p10_rates)}
+ORACLE = {
+    "p3_sample": """
+WITH entry AS (
+  SELECT doc_id, load_no, concat_ws('/', coalesce(pdf_class, 'unknown'), CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END) AS stratum,
+    row_number() OVER (PARTITION BY doc_id ORDER BY load_no NULLS LAST, row_no) AS k
+  FROM filings WHERE trim(coalesce(doc_id, '')) <> ''),
+doc AS (SELECT doc_id, load_no, stratum FROM entry WHERE k = 1),
+per AS (SELECT stratum, load_no, count(*) AS n FROM doc GROUP BY ALL),
+want AS (SELECT stratum, least(1.0::DOUBLE, 50.0::DOUBLE / sum(n) OVER (PARTITION BY stratum ORDER BY load_no NULLS LAST)) AS w FROM per),
+lim AS (SELECT stratum, greatest(0.1::DOUBLE, max(w)) AS threshold FROM want GROUP BY 1)
+SELECT doc_id, stratum, threshold FROM doc JOIN lim USING (stratum)
+WHERE CAST(('0x' || substr(sha256('review:' || doc_id), 1, 15))::BIGINT AS DOUBLE) / 1152921504606846976.0 < threshold
+""",
+}

@@ -12,8 +12,6 @@ from tallyframe import types as kinds
 from tallyframe.functions.text import blank_to_null, strip_unicode
 
 EARLIEST_YEAR = 1990
-# Month abbreviations.
-MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
 
 
 def part(c: Column, pattern: str, group: int = 1) -> Column:
@@ -21,33 +19,25 @@ def part(c: Column, pattern: str, group: int = 1) -> Column:
     return blank_to_null(F.regexp_extract(c, pattern, group))
 
 
-def day(year: Column, month: Column, dom: Column) -> Column:
-    """A date from numbers, null if the calendar has none such."""
-    return F.format_string("%04d-%02d-%02d", year, month, dom).try_cast("date")
+def _parsed(text: Column, shape: str, pattern: str) -> Column:
+    """A date of the pattern; null unless the text has the shape and the calendar the day."""
+    return F.try_to_timestamp(F.when(text.rlike(shape), text), F.lit(pattern)).cast("date")
 
 
 def mdy_date(c: Column, latest_year: int) -> Column:
     """`M/D/YYYY` from 1990 to the latest year, else null."""
-    t = strip_unicode(c)
-    shape = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
-    m, d, y = (part(t, shape, i).cast("int") for i in (1, 2, 3))
-    return F.when(y.between(EARLIEST_YEAR, latest_year), day(y, m, d))
+    found = _parsed(strip_unicode(c), r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy")
+    return F.when(F.year(found).between(EARLIEST_YEAR, latest_year), found)
 
 
 def compact_date(c: Column) -> Column:
     """`MMDDYYYY`, else null."""
-    shape = r"^([0-9]{2})([0-9]{2})([0-9]{4})$"
-    m, d, y = (part(strip_unicode(c), shape, i).cast("int") for i in (1, 2, 3))
-    return F.when(y.isNotNull(), day(y, m, d))
+    return _parsed(strip_unicode(c), r"^[0-9]{8}$", "MMddyyyy")
 
 
 def day_month_date(c: Column) -> Column:
     """`DD-MON-YY` of this century in any case, else null (four-digit years are rejected)."""
-    t = F.upper(strip_unicode(c))
-    shape = r"^([0-9]{1,2})-([A-Z]{3})-([0-9]{2})$"
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), part(t, shape, 2))
-    d, y = part(t, shape, 1).cast("int"), part(t, shape, 3).cast("int") + 2000
-    return F.when(y.isNotNull() & (month > 0), day(y, month, d))
+    return _parsed(F.initcap(strip_unicode(c)), r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{2}$", "d-MMM-yy")
 
 
 def money(c: Column) -> Column:

@@ -21,10 +21,10 @@ def match_seats(filings: DataFrame, legislators: DataFrame) -> DataFrame:
     """Adds seat_bioguide and ambiguous: by surname, state and district, if just one legislator has that key.
 
     Reports of candidates are never matched (a challenger isn't the incumbent)."""
-    index = seat_index(legislators).withColumnRenamed("state", "seat_state").withColumnRenamed("district", "seat_district")
+    index = seat_index(legislators).select(F.col("last_key").alias("seat_last"), F.col("state").alias("seat_state"), F.col("district").alias("seat_district"), "n", "seat_bioguide")
     keyed = filings.withColumn("last_key", norm_name(F.col("filer.last")))
-    same = (F.col("last_key") == index["last_key"]) & (F.upper("state_district.state") == F.col("seat_state")) & (F.col("state_district.district") == F.col("seat_district"))
-    joined = keyed.join(index, same, "left").drop(index["last_key"])
+    same = (F.col("last_key") == F.col("seat_last")) & (F.upper("state_district.state") == F.col("seat_state")) & (F.col("state_district.district") == F.col("seat_district"))
+    joined = keyed.join(index, same, "left").drop("seat_last")
     candidate = F.coalesce(F.col("filing_type.code") == kinds.CANDIDATE_TYPE, F.lit(False))
     return joined.withColumn("ambiguous", F.coalesce(F.col("n") > 1, F.lit(False))).withColumn("seat_bioguide", F.when(~candidate, F.col("seat_bioguide"))).drop("last_key", "seat_state", "seat_district", "n")
 

@@ -61,9 +61,9 @@ def null_ticker_blindspot(spark: SparkSession, d: str) -> DataFrame:
 
 def bucket_low(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("transaction")
-    again = values.amount_of(t["amount_range.label"])
+    again = values.amount_of(t["amount_range"]["label"])
     rows = _flat(spark, d).where(values.amount_floor(t["amount_range"]) >= 15001)
-    return rows.select("doc_id", "coverage_year", "item", again["low"].alias("low"), again["high"].alias("high"), again["exact"].alias("exact"), reshape.sparse_json(t["amount_range"]).alias("stored"))
+    return rows.select("doc_id", "coverage_year", "item", again["low"].alias("low"), again["high"].alias("high"), again["exact"].alias("exact"), F.when(again["exact"].isNull(), reshape.sparse_json(t["amount_range"])).alias("stored"))
 
 
 def _holdings(spark: SparkSession, d: str) -> DataFrame:
@@ -255,7 +255,7 @@ reasoned AS (SELECT m.*, CASE WHEN m.filing_type.code = 'C' THEN 'candidate' WHE
   FROM matched m LEFT JOIN held h ON upper(m.state_district.state) = h.state AND m.state_district.district = h.district WHERE m.bioguide_id IS NULL),
 rank(reason, r) AS (VALUES ('suspicious', 1), ('ambiguous_seat', 2), ('unknown_seat', 3), ('candidate', 4), ('no_district', 5)),
 warn AS (SELECT filer_id, arg_min(reason, r) AS reason, string_agg(doc_id, ',' ORDER BY row_no) AS doc_ids,
-  array_to_string(list_sort(list_distinct(list(state_district.district) FILTER (state_district.district IS NOT NULL))), ',') AS districts FROM reasoned JOIN rank USING (reason) GROUP BY 1),
+  coalesce(array_to_string(list_sort(list_distinct(list(state_district.district) FILTER (state_district.district IS NOT NULL))), ','), '') AS districts FROM reasoned JOIN rank USING (reason) GROUP BY 1),
 nm AS (SELECT filer_id, string_agg(raw_name, '|' ORDER BY seen) AS raw_names FROM (SELECT filer_id, raw_name, min(row_no) AS seen FROM reasoned GROUP BY 1, 2) GROUP BY 1)"""
 )
 _SAMPLE = """one AS (SELECT * FROM cur WHERE trim(coalesce(doc_id, '')) <> '' AND parse_status = 'ok')"""
@@ -287,9 +287,21 @@ WHERE contains(lower(t.asset), 'corp') AND starts_with(upper(t.transaction_type)
 FROM flat WHERE t.ticker IS NOT NULL GROUP BY 1""",
     "null_ticker_blindspot": f"""WITH {_FLAT} SELECT count(*) FILTER (t.asset_type IN ('ST', 'OP') AND coalesce(t.ticker, '') = '') AS without_ticker, count(*) AS trades FROM flat WHERE t.transaction_date >= DATE '2018-01-01'""",
     "bucket_low": f"""WITH {_FLAT} SELECT doc_id, coverage_year, item, t.amount_range.low AS low, t.amount_range.high AS high, t.amount_range.exact AS exact,
-CASE WHEN t.amount_range.exact IS NULL THEN '{{"low":' || t.amount_range.low || ',"high":' || t.amount_range.high || ',"label":"' || t.amount_range.label || '"}}'
-  ELSE '{{"exact":' || CASE WHEN t.amount_range.exact >= 1e7 THEN NULL ELSE t.amount_range.exact END || ',"label":"' || t.amount_range.label || '"}}' END AS stored
+CASE WHEN t.amount_range.exact IS NULL THEN '{{"low":' || t.amount_range.low || ',"high":' || t.amount_range.high || ',"label":"' || t.amount_range.label || '"}}' END AS stored
 FROM flat WHERE coalesce(t.amount_range.exact, CAST(t.amount_range.low AS DOUBLE)) >= 15001""",
+    "holdings": f"""WITH {_CURRENT},
+lastfd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coverage_year, doc_id ORDER BY body_id DESC) AS k_ FROM fd) WHERE k_ = 1),
+once AS (SELECT body_id, coverage_year, doc_id, CASE WHEN json_valid(ltrim(body, chr(65279))) THEN CAST(ltrim(body, chr(65279)) AS JSON) END AS j FROM lastfd),
+read AS (SELECT body_id, coverage_year, doc_id, CASE WHEN json_type(j) = 'VARCHAR' AND json_valid(j ->> '$') THEN CAST(j ->> '$' AS JSON) WHEN json_type(j) = 'OBJECT' THEN j END AS j FROM once),
+page AS (SELECT body_id, coverage_year, doc_id, 0 AS page, json_extract(j, '$.schedules') AS s FROM read WHERE j IS NOT NULL
+  UNION ALL SELECT body_id, coverage_year, doc_id, i, json_extract(j, '$.pages[' || (i - 1) || '].schedules') FROM (SELECT *, unnest(generate_series(1, CAST(json_array_length(json_extract(j, '$.pages')) AS BIGINT))) AS i FROM read WHERE json_type(json_extract(j, '$.pages')) = 'ARRAY')),
+letter AS (SELECT * FROM (SELECT *, unnest(json_keys(s)) AS k FROM page WHERE json_type(s) = 'OBJECT') WHERE upper(k) = 'A'),
+val AS (SELECT body_id, coverage_year, doc_id, page, json_extract(s, '$."' || k || '"') AS v FROM letter),
+lst AS (SELECT body_id, coverage_year, doc_id, page, CASE WHEN json_type(v) = 'ARRAY' THEN CAST(v AS JSON[]) WHEN json_type(v) = 'OBJECT' AND json_type(json_extract(v, '$.items')) = 'ARRAY' THEN CAST(json_extract(v, '$.items') AS JSON[]) WHEN json_type(v) = 'OBJECT' AND NOT json_exists(v, '$.items') THEN [v] END AS items FROM val),
+it AS (SELECT body_id, coverage_year, doc_id, page, i, items[i] AS x FROM (SELECT *, unnest(generate_series(1, len(items))) AS i FROM lst) WHERE coalesce(json_type(items[i]), 'NULL') <> 'NULL'),
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY body_id ORDER BY page, i) AS INTEGER) AS item FROM it)
+SELECT f.doc_id, f.coverage_year, n.item, f.filer_id, n.x ->> '$.asset' AS asset, n.x ->> '$.asset_type' AS asset_type FROM numbered n JOIN cur f ON f.coverage_year = n.coverage_year AND f.doc_id = n.doc_id
+WHERE coalesce(f.filing_type.code, '') <> 'P' AND contains(lower(n.x ->> '$.asset'), 'bond') AND upper(n.x ->> '$.owner') = 'JT'""",
     "year_summary": f"""SELECT f.*, coalesce(u.unparsed, 0) AS unparsed FROM (SELECT coverage_year, {_COUNTS} FROM filings GROUP BY 1) f LEFT JOIN (SELECT coverage_year, count(*) AS unparsed FROM unparsed_manifest GROUP BY 1) u USING (coverage_year)""",
     "type_counts": "SELECT coverage_year, filing_type.code AS code, count(*) AS n FROM filings GROUP BY ALL",
     "residual_counts": "SELECT count(*) FILTER (pdf_class = 'efiled' AND filing_type.code = 'P') AS efiled_ptr, count(*) FILTER (pdf_class = 'efiled' AND coalesce(filing_type.code, '') <> 'P') AS efiled_other FROM filings",

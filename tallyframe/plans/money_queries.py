@@ -20,7 +20,7 @@ def _committees(spark: SparkSession, d: str) -> DataFrame:
     joined = s.join(n, s["s_nationkey"] == n["n_nationkey"])
     named = F.when(F.pmod("s_suppkey", F.lit(5)) == 0, F.lit("")).otherwise(F.col("n_name"))
     one = joined.select(F.col("s_suppkey").cast("string").alias("committee_id"), F.col("s_name").alias("name"), named.alias("connected_organization_name"), code.alias("organization_type_raw"), values.label_of(code, kinds.ORGANISATIONS).alias("organization_type"))
-    return one.withColumn("cycle", F.explode(F.array(*(F.lit(c) for c in range(1992, 2000, 2)))))
+    return one.withColumn("cycle", F.explode(F.array(*(F.lit(c) for c in range(1994, 2004, 2)))))
 
 
 def _contributions(spark: SparkSession, d: str) -> DataFrame:
@@ -34,7 +34,7 @@ def _contributions(spark: SparkSession, d: str) -> DataFrame:
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    return o.select(F.concat(F.lit("M"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("bioguide_id"), F.col("o_orderkey").cast("string").alias("committee_id"), F.lit(1992).alias("cycle"), F.col("o_orderkey").alias("row"))
+    return o.select(F.concat(F.lit("M"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("bioguide_id"), F.col("o_orderkey").cast("string").alias("committee_id"), F.lit(1994).alias("cycle"), F.col("o_orderkey").alias("row"))
 
 
 def donors(spark: SparkSession, d: str) -> DataFrame:
@@ -42,7 +42,7 @@ def donors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pac(spark: SparkSession, d: str) -> DataFrame:
-    return answers.recipients(_contributions(spark, d), _committees(spark, d), _links(spark, d), "an").rows
+    return answers.recipients(_contributions(spark, d), _committees(spark, d), _links(spark, d), "on_1").rows
 
 
 def pac_limit(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +53,7 @@ def pac_limit(spark: SparkSession, d: str) -> DataFrame:
 
 def path1_split(spark: SparkSession, d: str) -> DataFrame:
     """Contributions kept and left out, by reason."""
-    known = _committees(spark, d).where("cycle = 1992 AND cast(committee_id AS int) % 7 <> 0").drop("cycle")
+    known = _committees(spark, d).where("cycle = 1994 AND cast(committee_id AS int) % 7 <> 0").drop("cycle")
     rows = _contributions(spark, d).select("*", F.lit("").alias("transaction_id"), F.lit(False).alias("short"))
     split = money.split_contributions(rows, known)
     return split.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason"), "organization_type").agg(F.count("*").alias("n"), F.sum(values.cents(F.col("amount"))).alias("total"))
@@ -118,9 +118,9 @@ x AS (SELECT e.*, leg.bioguide_id, CASE WHEN coalesce(office, '') <> 'H' THEN 'n
 ORACLE = {
     "donors": f"""WITH {_CM}, r AS (SELECT DISTINCT cid FROM lnk WHERE contains(lower(bio), 'm00001'))
 SELECT coalesce(nullif(conn, ''), name) AS organization, arg_min(otype, row) FILTER (true) AS organization_type_, sum(CAST(amount AS DECIMAL(18,2))) AS total, count(*) AS n_contributions
-FROM con JOIN cm ON ctr = committee_id WHERE cycle BETWEEN 1992 AND 1998 AND rec IN (SELECT cid FROM r) GROUP BY 1""",
-    "pac": f"""WITH {_CM}, m AS (SELECT committee_id FROM cm WHERE contains(lower(coalesce(nullif(conn, ''), name)), 'an'))
-SELECT bio AS bioguide_id, sum(CAST(amount AS DECIMAL(18,2))) AS total, count(*) AS n_contributions FROM con JOIN lnk ON rec = cid WHERE cycle BETWEEN 1992 AND 1998 AND ctr IN (SELECT committee_id FROM m) GROUP BY 1""",
+FROM con JOIN cm ON ctr = committee_id WHERE cycle BETWEEN 1994 AND 2002 AND rec IN (SELECT cid FROM r) GROUP BY 1""",
+    "pac": f"""WITH {_CM}, m AS (SELECT committee_id FROM cm WHERE contains(lower(coalesce(nullif(conn, ''), name)), 'on_1'))
+SELECT bio AS bioguide_id, sum(CAST(amount AS DECIMAL(18,2))) AS total, count(*) AS n_contributions FROM con JOIN lnk ON rec = cid WHERE cycle BETWEEN 1994 AND 2002 AND ctr IN (SELECT committee_id FROM m) GROUP BY 1""",
     "pac_limit": f"""WITH {_CM} SELECT ctr AS contributor_committee_id, bio AS recipient_committee_id, sum(CAST(amount AS DECIMAL(18,2))) AS total, count(*) AS n_contributions FROM con JOIN lnk ON rec = cid GROUP BY 1, 2 HAVING total > 100000""",
     "path1_split": f"""WITH {_CM} SELECT CASE WHEN k.committee_id IS NULL THEN 'unresolved_committee' WHEN raw IN ('C','T','L','M','V','W') THEN 'kept' ELSE 'not_connected_ssf' END AS reason, otype AS organization_type, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS total
 FROM con LEFT JOIN (SELECT * FROM cm WHERE CAST(committee_id AS INT) % 7 <> 0) k ON ctr = k.committee_id GROUP BY ALL""",

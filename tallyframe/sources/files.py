@@ -52,7 +52,7 @@ def pipe_rows(spark: SparkSession, path: str) -> DataFrame:
     """(cols, row) of Latin-1 files with `|` between fields, without header or quoting; blank lines are skipped.
 
     `row` orders the rows of one file as they stand in it."""
-    raw = spark.read.format("binaryFile").load(path).select("path", F.decode("content", F.lit("ISO-8859-1")).alias("text"))
+    raw = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "ISO-8859-1").alias("text"))
     lines = raw.select("path", F.posexplode(F.split("text", LINE_ENDS)).alias("row", "line")).where("trim(line) <> ''")
     return lines.select(F.split("line", r"\|", -1).alias("cols"), F.col("row").cast("long"))
 
@@ -60,7 +60,7 @@ def pipe_rows(spark: SparkSession, path: str) -> DataFrame:
 def pipe_lines(spark: SparkSession, path: str) -> DataFrame:
     """(cols) of large Latin-1 files split at line feeds, so that one file is read by many tasks; no row order."""
     raw = spark.read.format("text").load(path)
-    line = F.decode(F.encode("value", "UTF-8"), F.lit("UTF-8"))
+    line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")  # the text source keeps the bytes as they are
     return raw.where("trim(value) <> ''").select(F.split(line, r"\|", -1).alias("cols"))
 
 

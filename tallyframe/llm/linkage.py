@@ -147,15 +147,18 @@ class LabelModel:
         self.factors: list[tuple[int, ...]] = []
 
     def _em(self, v: np.ndarray, n: np.ndarray, q: np.ndarray) -> np.ndarray:
-        codes = [np.unique(v[:, f], axis=0, return_inverse=True) for f in map(list, self.factors)]
+        codes = [(*np.unique(v[:, f], axis=0, return_inverse=True), len(f)) for f in map(list, self.factors)]
         for _ in range(self.rounds):
             pi = (n @ q + self.smooth) / (n.sum() + 2 * self.smooth)
             log = np.full(len(n), np.log(pi) - np.log1p(-pi))
-            for values, at in codes:
+            for values, at, width in codes:
                 at = at.reshape(-1)
                 k = len(values)
                 one = np.bincount(at, n * q, k) + self.smooth
                 none = np.bincount(at, n * (1 - q), k) + self.smooth
+                if width == 1:  # a few imagined votes of a voter that is mostly right, which matter for few candidates only
+                    one += np.where(values[:, 0] > 0, 3.0, np.where(values[:, 0] < 0, 0.3, 1.0))
+                    none += np.where(values[:, 0] > 0, 1.0, np.where(values[:, 0] < 0, 3.0, 1.0))
                 log += (np.log(one / one.sum()) - np.log(none / none.sum()))[at]
             new = 1 / (1 + np.exp(-np.clip(log, -30, 30)))
             if np.abs(new - q).max() < 1e-6:
@@ -230,7 +233,7 @@ def candidates(filings: DataFrame, legislators: DataFrame) -> DataFrame:
     people = legislators.select("id.bioguide", "name.first", "name.last", "name.official_full", F.transform("terms", lambda t: F.struct(t["state"].alias("state"), t["district"].alias("district"), t["start"].alias("start"))).alias("terms"))
     if people.limit(MAX_INDEXED + 1).count() <= MAX_INDEXED:
         read = (read_person(*r, given_names) for r in people.collect())
-        sent = spark.sparkContext.broadcast(PersonIndex([p for p in read if p]))
+        sent = spark.sparkContext.broadcast(PersonIndex(sorted((p for p in read if p), key=lambda p: p.bioguide)))
 
         def near(name, _):
             index = sent.value

@@ -250,7 +250,7 @@ def compare_given(a: Name, b: Name) -> int:
         return PERHAPS if a.initials & b.initials else CONFLICT
     if a.means and b.means:
         if shared := a.means & b.means:
-            return AGREE if len(shared) == 1 and min(len(a.means), len(b.means)) == 1 or a.given == b.given else PERHAPS
+            return AGREE if len(shared) == len(a.means) == len(b.means) == 1 or a.given == b.given else PERHAPS
         return CONFLICT
     for x in a.given:
         for y in b.given:

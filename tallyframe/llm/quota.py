@@ -160,6 +160,8 @@ def draw(rows: DataFrame, dimensions: Mapping[str, Column], targets: DataFrame,
     all rows sends few of them through the shuffle."""
     cells, _ = plan(rows, dimensions, targets, size)
     names = [c for c in cells.columns if c != "quota"]
+    if not names:
+        return rows.select(key).limit(0)
     cells = cells.select(*(F.col(c).alias(f"cell_{c}") for c in names), "quota")
     most = cells.agg(F.max("quota")).first()[0] or 0
     keyed = rows.select(F.col(key), *(dimensions[d].cast("string").alias(d) for d in names)).withColumn("u", F.sha2(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")), 256))

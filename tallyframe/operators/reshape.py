@@ -11,10 +11,13 @@ from tallyframe.operators.predicates import HoldingFilter, TradeFilter
 
 
 def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """One row for each key: the one that comes last in the order (nulls first). A map-side aggregate, no window."""
-    names = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*names), F.struct(*(F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("v")) for c in order)))
-    return df.groupBy(*keys).agg(last.alias("last")).select(*keys, *(F.col("last")[c].alias(c) for c in names))
+    """The row of each key that comes last in the order (nulls first); the last column of the order identifies rows.
+
+    Only keys and order go through the map-side aggregate; the rows themselves are kept by a semi join on their id."""
+    row = order[-1]
+    last = F.max(F.struct(*(F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("v")) for c in order)))
+    ids = df.groupBy(*keys).agg(last.alias("last")).select(F.col(f"last.col{len(order)}.v").alias(row))
+    return df.join(ids, row, "left_semi")
 
 
 def current_filings(filings: DataFrame) -> DataFrame:

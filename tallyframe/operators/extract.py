@@ -29,7 +29,7 @@ def _trimmed(lines: DataFrame) -> DataFrame:
     return lines.select(_DOC, "line_no", F.trim(F.regexp_replace("line", r"[\t ]", " ")).alias("line"))
 
 
-_PTR_OUT = T.StructType([T.StructField(_DOC, T.LongType()), T.StructField("item", T.IntegerType()), T.StructField("transaction", kinds.TRANSACTION)])
+_PTR_OUT = T.StructType([T.StructField(_DOC, T.LongType()), T.StructField("item", T.IntegerType()), T.StructField("wanted", T.LongType()), T.StructField("transaction", kinds.TRANSACTION)])
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -54,29 +54,31 @@ def transactions(lines: DataFrame, layout: C.Layout = C.Layout(), latest: int =
     marked = kept.withColumn("boxless", L.has_lost_glyphs(_DOC))
     case = lambda name: F.coalesce(F.col("line").rlike(lit(name)), F.lit(False))
     header = case("range") | case("exact") | (F.col("boxless") & (case("range_boxless") | case("exact_boxless")))
-    rows = L.islands(marked, header, [_DOC])
-    status = rows.groupBy(_DOC).agg(F.count_if(_like(layout.status)).alias("wanted"))
+    wanted = F.count_if(_like(layout.status)).over(Window.partitionBy(_DOC))
+    rows = L.islands(marked, header, [_DOC]).withColumn("wanted", wanted)
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    grouped = rows.where("island > 0").groupBy(_DOC, "island").agg(ordered.alias("lines"), F.first("boxless").alias("boxless"))
+    grouped = rows.where("island > 0").groupBy(_DOC, "island").agg(ordered.alias("lines"), F.first("boxless").alias("boxless"), F.first("wanted").alias("wanted"))
     out_type = _arrow(kinds.TRANSACTION)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, items, found = [], [], []
-            for doc, island, text, boxless in zip(*(c.to_pylist() for c in batch.columns)):
+            docs, items, want, found = [], [], [], []
+            for doc, island, text, boxless, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 if row := C.ptr_row(text, layout, boxless, latest):
                     docs.append(doc)
                     items.append(island - 1)
+                    want.append(wanted)
                     found.append(_plain(row))
             if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int32()), pa.array(found, out_type)], names=[_DOC, "item", "transaction"])
-
-    read = grouped.select(F.col(_DOC).cast("long"), "island", "lines", "boxless").mapInArrow(run, _PTR_OUT)
-    have = read.groupBy(_DOC).agg(F.count("*").alias("have"))
-    judged = status.join(have, _DOC, "left").withColumn("ok", F.col("wanted") == F.coalesce("have", F.lit(0)))
-    good = judged.where("ok").select(_DOC)
-    failed = judged.where("NOT ok").select(_DOC, F.lit("extract_failed").alias("reason"))
-    return read.join(good, _DOC, "left_semi"), failed
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int32()), pa.array(want, pa.int64()), pa.array(found, out_type)], names=_PTR_OUT.names)
+
+    read = grouped.select(F.col(_DOC).cast("long"), "island", "lines", "boxless", "wanted").mapInArrow(run, _PTR_OUT)
+    have = F.count("*").over(Window.partitionBy(_DOC))
+    good = read.withColumn("have", have).where("have = wanted").select(_DOC, "item", "transaction")
+    counted = read.groupBy(_DOC).agg(F.count("*").alias("have"))
+    status = rows.groupBy(F.col(_DOC).cast("long").alias(_DOC)).agg(F.first("wanted").alias("wanted"))
+    failed = status.join(counted, _DOC, "left").where("wanted <> coalesce(have, 0)").select(_DOC, F.lit("extract_failed").alias("reason"))
+    return good, failed
 
 
 def schedule_lines(lines: DataFrame, layout: C.Layout = C.Layout()) -> DataFrame:

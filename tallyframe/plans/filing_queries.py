@@ -71,10 +71,11 @@ def _holdings(spark: SparkSession, d: str) -> DataFrame:
     fd = table(spark, d, "fd")
     last = reshape.latest(fd.select("coverage_year", "doc_id", "body_id"), ["coverage_year", "doc_id"], "body_id")  # the bodies themselves aren't shuffled
     nodes = nested.link_items(nested.interval_nodes(fd, "body_id", "body", ("schedule", "item", "fields", "amount"))).where("schedule = 'A'")
-    items = nodes.where("kind = 'item'").select("body_id", "item_no", "fields")
-    value = nodes.where("kind = 'amount' AND label = 'value_of_asset'").groupBy("body_id", "item_no").agg(F.first(F.struct("low", "high", "exact", F.col("text").alias("label"))).alias("value"))
-    get = lambda n: F.try_element_at("fields", F.lit(n)).alias(n)
-    joined = items.join(value, ["body_id", "item_no"], "left").join(last, "body_id")
+    value = F.when((F.col("kind") == "amount") & (F.col("label") == "value_of_asset"), F.struct("low", "high", "exact", F.col("text").alias("label")))
+    # An item and its amounts have one place; the bodies are read once.
+    items = nodes.groupBy("doc", "body_id", "item_no").agg(F.first(F.when(F.col("kind") == "item", F.struct("fields")), ignorenulls=True).alias("i"), F.first(value, ignorenulls=True).alias("value"))
+    get = lambda n: F.try_element_at(F.col("i.fields"), F.lit(n)).alias(n)
+    joined = items.join(last, "body_id")
     return joined.select("coverage_year", "doc_id", F.col("item_no").alias("item"), F.struct(get("asset"), get("owner"), get("asset_type"), get("income_type"), F.col("value").alias("value_of_asset")).alias("holding"))
 
 

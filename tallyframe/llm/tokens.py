@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -244,7 +245,7 @@ def vocabulary(path: str) -> BytePairs:
 
 def groups(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     """(first row, texts) of consecutive rows that together have about GROUP_CHARS characters."""
-    lengths = column.cast(pa.large_string()).buffers() and pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     start = 0
     while start < len(column):
         upto = np.searchsorted(np.cumsum(lengths[start:]), GROUP_CHARS) + 1

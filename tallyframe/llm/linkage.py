@@ -267,7 +267,7 @@ def link(filings: DataFrame, legislators: DataFrame) -> DataFrame:
     spark = filings.sparkSession
     pairs = cut_lineage(candidates(filings, legislators))
     # As many rows as there are patterns of votes.
-    seen = pairs.select(F.explode("candidates").alias("c")).groupBy("c.pattern").count().collect()
+    seen = pairs.select(F.explode("candidates").alias("c")).groupBy("c.pattern").count().orderBy("pattern").collect()
     if not seen:
         return spark.createDataFrame([], "row_no long, bioguide string, confidence double, accepted boolean")
     patterns = [decode(r[0]) for r in seen]

@@ -141,3 +141,16 @@ def test_amount_columns(text, expected):
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "doc_id string, line_no int, line string")
     assert X.transactions(empty)[0].count() == 0 and X.schedule_items(empty).count() == 0
+
+
+def test_outcomes(spark):
+    code = "filing_type struct<code:string,label:string>"
+    f = spark.createDataFrame([("1", ("O", "")), ("2", ("P", "")), ("3", ("O", "")), ("4", ("X", "")), ("5", ("O", "")), ("6", ("Q", ""))], f"doc_id string, {code}")
+    texts = {"1": FD, "2": PTR.replace("FILING STATUS: New\n", ""), "3": "x" * 30, "4": "y" * 30, "6": "z" * 30}
+    lines = L.split_lines(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
+    items = X.schedule_items(lines)
+    out = {r.doc_id: (r.pdf_class, r.parse_status, r.reason) for r in X.outcomes(f, lines, X.transactions(lines)[1], items, X.incomplete(lines, items)).collect()}
+    assert out == {
+        "1": ("efiled", "ok", None), "2": ("efiled", "error", "extract_failed"), "3": ("efiled", "error", "extract_failed"), "4": ("efiled", "ok", None),
+        "5": ("missing", "ok", "missing"), "6": ("efiled", "ok", "unknown_type"),
+    }

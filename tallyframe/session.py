@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers, once for each context, wherever they and the driver were started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyframe_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyframe-"), "tallyframe-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, str(path.relative_to(root.parent)))
+    sc.addPyFile(archive)
+    sc._tallyframe_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table `name` below `sf_dir`, whole."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

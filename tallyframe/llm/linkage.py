@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, UNKNOWN, GivenNames, Name, alignment_cost, compare_given, compare_middle, compare_suffix, compare_surname, fold, learn_nicknames, read_name
+from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, UNKNOWN, GivenNames, Name, alignment_cost, alike, compare_given, compare_middle, compare_suffix, compare_surname, fold, form_keys, learn_nicknames, read_name
 from tallyframe.session import cut_lineage
 
 # The index over the smaller side is sent to all workers only up to so many persons; beyond, candidates are joined.
@@ -72,6 +72,32 @@ def vocabulary(legislators: DataFrame) -> GivenNames:
     return GivenNames({fold(r[0]) for r in rows}, learn_nicknames((fold(r[0]), fold(r[1])) for r in rows))
 
 
+def near_forms(one: DataFrame, other: DataFrame) -> DataFrame:
+    """(form_a, form_b): all pairs of surname forms of the two tables (column `form`, each form once) that are alike.
+
+    What is shuffled: a hash for each key of each form, and the pairs that share one."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch.column(0).to_pylist()
+            for at in range(0, len(forms), 500):
+                some = forms[at : at + 500]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([sorted(form_keys(f)) for f in some], pa.list_(pa.string()))], names=["form", "keys"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(a, b) for a, b in zip(*(c.to_pylist() for c in batch.columns)) if alike(a, b)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["form_a", "form_b"])
+
+    def keyed(forms: DataFrame, name: str) -> DataFrame:
+        return forms.select("form").mapInArrow(keys, "form string, keys array<string>").select(F.col("form").alias(name), F.explode("keys").alias("key")).select(name, F.xxhash64("key").alias("key"))
+
+    met = keyed(one, "form_a").join(keyed(other, "form_b"), "key").where("form_a <> form_b").select("form_a", "form_b").distinct()
+    same = one.select("form").join(other.select("form"), "form").select(F.col("form").alias("form_a"), F.col("form").alias("form_b"))
+    return met.mapInArrow(check, "form_a string, form_b string").union(same)
+
+
 class PersonIndex:
     def __init__(self, persons: list[Person]):
         self.persons = persons

@@ -86,6 +86,31 @@ def deletions(token: str) -> set[str]:
     return {s} | {s[:i] + s[i + 1 :] for i in range(len(s))}
 
 
+# Longer surname forms meet by parts instead of by deletions, whose number grows with the square of the length.
+LONG_FORM = 40
+
+
+def form_keys(form: str) -> set[str]:
+    """Keys of a surname form: two forms that are `alike` share one, whichever letters are damaged.
+
+    One skeleton, or the form with up to one letter left out, from 9 letters on up to two. Of five parts of a long form
+    two edits leave one as it is (a transposition may touch two), moved by two places at most."""
+    keys, n = {f"~{skeleton(form)}"}, len(form)
+    if 4 <= n <= LONG_FORM:
+        once = {form[:i] + form[i + 1 :] for i in range(n)}
+        keys |= {form} | once
+        if n >= 9:
+            keys |= {s[:i] + s[i + 1 :] for s in once for i in range(n - 1)}
+    if n > LONG_FORM - 2:
+        for whole in range(n - 2, n + 1):  # as long as the shorter form of a pair
+            for part in range(5):
+                start, end = whole * part // 5, whole * (part + 1) // 5
+                for move in range(-2, 3):
+                    if 0 <= start + move and end + move <= n:
+                        keys.add(f"{whole}.{part}.{form[start + move : end + move]}")
+    return keys
+
+
 class GivenNames:
     """What a typed given name can stand for: a vocabulary with nicknames and a symmetric-delete index over both."""
 
@@ -284,6 +309,11 @@ def close(x: str, y: str) -> bool:
     return x == y or (n >= 4 and distance(x, y, 1) <= 1) or (n >= 9 and distance(x, y, 2) <= 2)
 
 
+def alike(x: str, y: str) -> bool:
+    """Whether surname forms can be one: what `compare_surname` asks of at least one pair of forms."""
+    return skeleton(x) == skeleton(y) or close(x, y)
+
+
 def compare_surname(a: Name, b: Name) -> int:
     """AGREE: the same as a whole; PERHAPS: the same but for a small edit or a second surname on one side."""
     if not a.surnames or not b.surnames:

@@ -1,7 +1,7 @@
 """Variant spellings of names: which entries of a list of typed names mean the same person.
 
-Entries are read into names (see names.py). Entries of one run and state that share a key of the symmetric-delete
-neighbourhood of a surname token, and an initial that their given names can have, are compared by the optimal
+Entries are read into names (see names.py). Entries of one run and state that have surname forms within the accepted
+edit distance (found by symmetric-delete keys over the distinct forms, of up to two letters) are compared by the optimal
 assignment of their tokens. Links between entries whose names are written out are strong and joined into persons
 (connected components). An entry that could mean several people (an initial, an ambiguous nickname, no state, no
 suffix beside relatives with one) is weak: it joins the one person whose evidence (middle name, suffix, districts) is
@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyframe.llm.graph import components
-from tallyframe.llm.linkage import vocabulary
-from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, SUFFIXES, GivenNames, Name, _tokens, alignment_cost, compare_given, compare_middle, compare_suffix, compare_surname, fold, read_name, skeleton
+from tallyframe.llm.linkage import near_forms, vocabulary
+from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, SUFFIXES, GivenNames, Name, _tokens, alignment_cost, compare_given, compare_middle, compare_suffix, compare_surname, fold, read_name
 from tallyframe.session import cut_lineage
 
 # A packed name: given|middles|surnames|suffix, each a list of words.
@@ -36,10 +36,10 @@ _NODE = T.StructType(
         T.StructField("state", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("weak", T.BooleanType()),
-        T.StructField("keys", T.ArrayType(T.StringType())),
+        T.StructField("forms", T.ArrayType(T.StringType())),
     ]
 )
-_NODE_ARROW = pa.schema([("entry_no", pa.int64()), ("state", pa.string()), ("name", pa.string()), ("weak", pa.bool_()), ("keys", pa.list_(pa.string()))])
+_NODE_ARROW = pa.schema([("entry_no", pa.int64()), ("state", pa.string()), ("name", pa.string()), ("weak", pa.bool_()), ("forms", pa.list_(pa.string()))])
 
 
 def pack(n: Name) -> str:
@@ -100,17 +100,9 @@ def _nodes(given_names: GivenNames):
     return run
 
 
-def blocks(name: Name) -> list[str]:
-    """Keys under which variants of a name meet: one-letter deletions of its surnames with each possible initial, and
-    for two damaged letters the surname's ends with each known given name."""
-    near = {f"{key}/{i}" for key in name.keys() for i in name.initials}
-    ends = {f"{end}/{m}" for f in map(skeleton, name.surname_forms()) if len(f) >= 8 for end in (f"{f[:3]}-", f"-{f[-4:]}") for m in name.means}
-    return sorted(near | ends)
-
-
 def _node(entry_no, state, name: Name):
     weak = name.initial_only or len(name.means) > 1 or state is None
-    return entry_no, state, pack(name), weak, blocks(name)
+    return entry_no, state, pack(name), weak, sorted(name.surname_forms())
 
 
 def entry_nodes(entries: DataFrame, given_names: GivenNames) -> DataFrame:
@@ -171,16 +163,24 @@ def _judge_pairs(given_names: GivenNames):
     return run
 
 
-def _meet(keyed: DataFrame, given_names: GivenNames) -> DataFrame:
-    """Judged pairs of nodes that share a key: within a state, and of those without a state with all."""
-    left = keyed.select(*(F.col(c).alias(f"{c}_a") for c in ("node", "name", "weak", "state")), "run", "key")
-    right = keyed.select(*(F.col(c).alias(f"{c}_b") for c in ("node", "name", "weak", "state")), "run", "key")
-    pick = [F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("name_a"), F.col("name_b"), (F.col("weak_a") | F.col("weak_b")).alias("weak")]
+def _meet(nodes: DataFrame, given_names: GivenNames) -> DataFrame:
+    """Judged pairs of nodes with surname forms that are alike: within a state, and of those without a state with all.
+
+    Nothing else is asked beforehand, so that each pair that `judge` accepts gets there."""
+    spelled = nodes.select("node", "state", "run", F.explode("forms").alias("form"))
+    forms = cut_lineage(spelled.select("form").distinct())
+    near = cut_lineage(near_forms(forms, forms))
+    left = spelled.select(F.col("node").alias("node_a"), F.col("state").alias("state_a"), "run", "form").join(near.withColumnRenamed("form_a", "form"), "form").select("node_a", "state_a", "run", "form_b").distinct()
+    right = spelled.select(F.col("node").alias("node_b"), F.col("state").alias("state_b"), "run", "form")
+    pick = ["node_a", "node_b"]
     l2, r2 = left.where("state_a IS NOT NULL"), right.where("state_b IS NOT NULL")
-    within = l2.join(r2, (l2["run"] == r2["run"]) & (l2["state_a"] == r2["state_b"]) & (l2["key"] == r2["key"]) & (l2["node_a"] < r2["node_b"]))
+    within = l2.join(r2, (l2["run"] == r2["run"]) & (l2["state_a"] == r2["state_b"]) & (l2["form_b"] == r2["form"]) & (l2["node_a"] < r2["node_b"]))
     l3 = left.where("state_a IS NULL")
-    across = l3.join(right, (l3["run"] == right["run"]) & (l3["key"] == right["key"]) & (l3["node_a"] != right["node_b"]) & (right["state_b"].isNotNull() | (l3["node_a"] < right["node_b"])))
-    pairs = within.select(*pick).union(across.select(*pick)).dropDuplicates(["a", "b"])
+    across = l3.join(right, (l3["run"] == right["run"]) & (l3["form_b"] == right["form"]) & (l3["node_a"] != right["node_b"]) & (right["state_b"].isNotNull() | (l3["node_a"] < right["node_b"])))
+    met = within.select(*pick).union(across.select(*pick)).distinct()
+    named = lambda side: nodes.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "name", "weak")))
+    pairs = met.join(named("a"), "node_a").join(named("b"), "node_b")
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "name_a", "name_b", (F.col("weak_a") | F.col("weak_b")).alias("weak"))
     return pairs.mapInArrow(_judge_pairs(given_names), _EDGE)
 
 
@@ -195,15 +195,15 @@ def persons(entries: DataFrame, legislators: DataFrame) -> DataFrame:
     read = cut_lineage(read.withColumn("node", _node_id("run", "state", "name")))
 
     # One node for each name in a run and state. Its districts are at most those that a state has.
-    nodes = read.groupBy("node", "run", "state", "name").agg(F.first("weak").alias("weak"), F.first("keys").alias("keys"), F.array_distinct(F.flatten(F.collect_set(F.coalesce("districts", F.array().cast("array<int>"))))).alias("districts"))
+    nodes = read.groupBy("node", "run", "state", "name").agg(F.first("weak").alias("weak"), F.first("forms").alias("forms"), F.array_distinct(F.flatten(F.collect_set(F.coalesce("districts", F.array().cast("array<int>"))))).alias("districts"))
     people = legislators.select("id.bioguide", "name.first", "name.last", "name.official_full", "terms").mapInArrow(_legislator_nodes(given_names), _NODE)
     # Legislators meet the entries of every run; the runs are a handful.
     runs = [r[0] for r in read.select("run").distinct().collect()]
     known = people.withColumn("run", F.explode(F.array(*(F.lit(r) for r in runs)).cast("array<int>"))) if runs else people.withColumn("run", F.lit(None).cast("int"))
-    known = known.withColumn("node", _node_id("run", "state", "name")).select("node", "run", "state", "name", "weak", "keys", F.array().cast("array<int>").alias("districts"))
+    known = known.withColumn("node", _node_id("run", "state", "name")).select("node", "run", "state", "name", "weak", "forms", F.array().cast("array<int>").alias("districts"))
     nodes = cut_lineage(nodes.withColumn("run", F.col("run").cast("int")).unionByName(known).dropDuplicates(["node"]))
 
-    edges = cut_lineage(_meet(nodes.withColumn("key", F.explode("keys")), given_names))
+    edges = cut_lineage(_meet(nodes, given_names))
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "strong", "score", "suffix_open"))
 
     # Without a suffix beside one with: weak, as relatives share the rest of the name.

@@ -89,3 +89,21 @@ def test_assignment_is_optimal(n, m, seed):
     short = c if n <= m else [list(x) for x in zip(*c)]
     best = min(sum(short[i][p[i]] for i in range(len(short))) for p in itertools.permutations(range(len(short[0])), len(short)))
     assert abs(N.assign(c) - best) < 1e-9
+
+
+@pytest.mark.parametrize("base", ["ruan", "arnold", "brualliac", "holviddett", "arnoldsrnen", "x" * 39, "abcdefghijklmnopqrstuvwxyz" * 2, "y" * 50_000])
+def test_alike_forms_share_a_key(base):
+    """Whichever letters are damaged: up to two edits at any place, transpositions and misread `rn` included."""
+    r = random.Random(7)
+
+    def damage(word):
+        i, kind = r.randrange(len(word) - 1), r.randrange(5)
+        return [word[:i] + word[i + 1 :], word[:i] + "q" + word[i:], word[:i] + "q" + word[i + 1 :], word[:i] + word[i + 1] + word[i] + word[i + 2 :], word.replace("rn", "m", 1)][kind]
+
+    keys = N.form_keys(base)
+    assert len(keys) < 900
+    for _ in range(400 if len(base) < 100 else 3):
+        once = damage(base)
+        for word in (once, damage(once)) if len(once) > 1 else (once,):
+            if len(base) > 100 or N.alike(base, word):
+                assert keys & N.form_keys(word), word

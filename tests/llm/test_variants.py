@@ -71,3 +71,12 @@ def test_components_against_union_find(spark):
     got = graph.components(spark.range(400), spark.createDataFrame(edges, "a long, b long"))
     assert {x.id: x.component for x in got.collect()} == {i: find(i) for i in range(400)}
     assert graph.components(spark.range(3), spark.createDataFrame([], "a long, b long")).count() == 3
+
+
+def test_two_damaged_letters(spark, legislators):
+    """One near each end of a long surname, so that neither end is whole; a damaged first letter of an unknown given name."""
+    rows = [
+        entry(1, "tx.holviddett.lloyd", "Lloyd Holviddett"), entry(2, "tx.hiolviddwtt.lloyd", "Lloyd Hiolviddwtt"), entry(3, "tx.hiolviddett.l-dale", "L. Dale Hiolviddett"),
+        entry(4, "tx.arnold.lucy", "Lucy Arnold"), entry(5, "tx.aronld.lucy", "Lucy Aronld"), entry(6, "ut.stone.qorvunim", "Qorvunim Stone"), entry(7, "ut.stone.xorvunim", "Xorvunim Stone"),
+    ]
+    assert pairs(spark, legislators, rows) == [(1, 2), (1, 3), (2, 3), (4, 5), (6, 7)]

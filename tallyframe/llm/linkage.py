@@ -1,6 +1,6 @@
 """Matching entities across sources without keys: filings to legislators by noisy attributes, with a confidence.
 
-Candidates come from a symmetric-delete index over surnames. On each candidate many heuristic matching functions vote
+Candidates come from a symmetric-delete index over surnames, which covers all that `compare_surname` accepts. On each candidate many heuristic matching functions vote
 (match, no match, abstain). A generative model is fitted to the counts of all vote patterns by expectation
 maximisation: it learns how often each function votes what on true and on false candidates, and joins functions whose
 votes stay correlated given the class into one factor. Its posterior is the confidence of a match. An exact check
@@ -16,6 +16,8 @@ Defined cases
 from __future__ import annotations
 
 import itertools
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -98,13 +100,23 @@ def near_forms(one: DataFrame, other: DataFrame) -> DataFrame:
     return met.mapInArrow(check, "form_a string, form_b string").union(same)
 
 
+def _hashes(keys) -> array:
+    """Of 32 bits: keys that share one by chance are told apart by comparing the surnames."""
+    return array("I", (zlib.crc32(key.encode("utf-8", "surrogatepass")) for key in keys))
+
+
 class PersonIndex:
+    """Sorted hashes of the keys beside the persons that have them: 8 bytes a key."""
+
     def __init__(self, persons: list[Person]):
         self.persons = persons
-        self.index: dict[str, list[int]] = {}
+        hashes, owners = array("I"), array("I")
         for i, p in enumerate(persons):
-            for key in p.name.keys():
-                self.index.setdefault(key, []).append(i)
+            found = _hashes(p.name.keys())
+            hashes.extend(found)
+            owners.extend([i] * len(found))
+        order = np.argsort(np.array(hashes, np.uint32), kind="stable")
+        self.hashes, self.owners = np.array(hashes, np.uint32)[order], np.array(owners, np.uint32)[order]
         self.memo: dict[Name, list[int]] = {}
 
     def near(self, name: Name) -> list[int]:
@@ -112,7 +124,9 @@ class PersonIndex:
         if (found := self.memo.get(name)) is None:
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            ids = sorted({i for key in name.keys() for i in self.index.get(key, ())})
+            keys = np.array(_hashes(name.keys()), np.uint32)
+            starts, ends = np.searchsorted(self.hashes, keys, "left"), np.searchsorted(self.hashes, keys, "right")
+            ids = sorted({int(i) for s, e in zip(starts, ends) if s < e for i in self.owners[s:e]})
             found = self.memo[name] = [i for i in ids if compare_surname(name, self.persons[i].name) != CONFLICT]
         return found
 
@@ -273,13 +287,15 @@ def _joined_candidates(narrow: DataFrame, people: DataFrame, given_names: GivenN
     """The same by a join on the keys, for more persons than fit into one index."""
 
     @F.udf(T.ArrayType(T.StringType()))
-    def keys(first, last):
-        return sorted(read_name(first, last, None, given_names).keys())
+    def forms(first, last):
+        return sorted(read_name(first, last, None, given_names).surname_forms())
 
-    left = narrow.withColumn("key", F.explode(keys("first", "last")))
-    right = people.withColumn("key", F.explode(keys("first", "last"))).select("key", F.struct("bioguide", "first", "last", "official_full", "terms").alias("person"))
+    # The keys are made of the distinct forms only; what is alike is joined back.
+    left = narrow.withColumn("form_a", F.explode(forms("first", "last")))
+    right = people.withColumn("form_b", F.explode(forms("first", "last"))).select("form_b", F.struct("bioguide", "first", "last", "official_full", "terms").alias("person"))
     held = F.exists("person.terms", lambda t: F.col("coverage_year").between(F.year(t["start"]), F.year(t["start"]) + 1))
-    pairs = left.join(right, "key").where(held).groupBy(*narrow.columns).agg(F.collect_set("person").alias("extra"))
+    one, other = (cut_lineage(side.select(F.col(c).alias("form")).distinct()) for side, c in ((left, "form_a"), (right, "form_b")))
+    pairs = left.join(near_forms(one, other), "form_a").join(right, "form_b").where(held).groupBy(*narrow.columns).agg(F.collect_set("person").alias("extra"))
 
     def near(name, extra):
         found = (read_person(*p.values(), given_names) for p in sorted(extra, key=lambda p: p["bioguide"]))

@@ -184,7 +184,7 @@ class Name:
         return {f for f in forms if f}
 
     def keys(self) -> set[str]:
-        return set().union(*map(deletions, self.surname_forms())) if self.surnames else set()
+        return set().union(*map(form_keys, self.surname_forms())) if self.surnames else set()
 
 
 _ASIDE = re.compile(r"\(([^)]*)\)|\"([^\"]*)\"|“([^”]*)”")

@@ -49,6 +49,13 @@ def test_join_path_finds_the_same(spark, legislators, monkeypatch):
     assert a == b and a
 
 
+@pytest.mark.parametrize("indexed", [K.MAX_INDEXED, 0])
+def test_two_damaged_letters_of_a_long_surname(spark, legislators, monkeypatch, indexed):
+    monkeypatch.setattr(K, "MAX_INDEXED", indexed)
+    table = spark.createDataFrame([filing(1, "Robert", "Weinscitt"), filing(2, "Robert", "Wainscott"), filing(3, "Robert", "Weinscitz")], FILING)
+    assert {r.row_no: [c.bioguide for c in r.candidates] for r in K.candidates(table, legislators).collect()} == {1: ["W1"], 2: ["W1"]}
+
+
 def test_empty_tables(spark, legislators):
     assert K.found(spark.createDataFrame([], FILING), legislators).count() == 0
     assert K.found(spark.createDataFrame([CASES[0][0]], FILING), spark.createDataFrame([], LEG)).count() == 0

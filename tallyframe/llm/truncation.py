@@ -38,6 +38,8 @@ CLOSER_SHARE, CLOSER_RATE, ITEM_SHARE, SHAPE_SHARE = 0.01, 0.9, 0.0005, 0.01
 HABIT_LINES, LONGER_TIMES = 4, 3
 LIMIT_DOCS, LIMIT_SHARE, LIMIT_TIMES, NEIGHBOURS = 6, 0.001, 6.0, 20
 LONGEST_SHAPE = 80
+# Of a longer word only its beginning matters, as a word that a closer may be a piece of.
+LONGEST_CLOSER = 40
 
 # Marks that say that more text followed.
 MARKS = re.compile(r"(?:…|\.\.\.|�|\[(?:\.\.\.|…|more|truncated|cont(?:inued|\.)?)\]|\((?:more|cont(?:inued|\.)?|truncated|\.\.\.|…)\)|>>|»»|&(?:[a-z]{1,5}|#[0-9x]{0,5}))$", re.I)
@@ -123,6 +125,7 @@ _FLUSH = 200_000
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts whose sums don't depend on how the texts are parted: each word is given out, however rare."""
     ends: Counter = Counter()
     words: dict = {}
     other: Counter = Counter()
@@ -130,7 +133,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         rows = [(s, "closer", w, n, words[s][w]) for (s, w), n in ends.items()] + [(s, k, x, n, 0) for (s, k, x), n in other.items()]
         # Words that ended no line here still count for those that end one elsewhere.
-        rows += [(s, "closer", w, 0, n) for s, c in words.items() for w, n in c.items() if (s, w) not in ends and n > 2]
+        rows += [(s, "closer", w[: LONGEST_CLOSER + 1], 0, n) for s, c in words.items() for w, n in c.items() if (s, w) not in ends]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _STAT_ARROW)], schema=_STAT_ARROW)
 
     for batch in batches:
@@ -142,7 +145,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words.setdefault(source, Counter()).update(text.split())
             for line in lines:
                 if w := line.rsplit(None, 1)[-1:]:
-                    if len(w[0]) <= 40 and not _TERMINAL.search(w[0]) and not _NO_CLOSER.search(w[0]):
+                    if len(w[0]) <= LONGEST_CLOSER and not _TERMINAL.search(w[0]) and not _NO_CLOSER.search(w[0]):
                         ends[source, w[0]] += 1
             for line in lines[:-1]:
                 if (m := _ITEM.fullmatch(line)) and len(m[1]) <= LONGEST_SHAPE:
@@ -150,7 +153,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not _TERMINAL.search(text):
                 for s in closing_shapes(text):
                     other[source, "shape", s] += 1
-        if len(ends) + len(other) > _FLUSH:
+        if len(ends) + len(other) + sum(map(len, words.values())) > _FLUSH:
             yield flush()
             ends, words, other = Counter(), {}, Counter()
     if other:
@@ -172,7 +175,7 @@ def line_habits(docs: DataFrame) -> dict:
     # What is but the beginning of words from inside of lines is no closer: the pieces that cutting leaves.
     ends = kept.where("kind = 'closer'").select(F.col("source").alias("s"), F.col("key").alias("k"))  # at most 1 / CLOSER_SHARE for each source
     inner = stats.where("kind = 'closer' AND n < 0.5 * total AND length(key) > 1")
-    begun = inner.select("source", "total", F.explode(F.transform(F.sequence(F.lit(1), F.length("key") - 1), lambda i: F.substring("key", F.lit(1), i))).alias("key"))
+    begun = inner.select("source", "total", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("key") - 1, F.lit(LONGEST_CLOSER))), lambda i: F.substring("key", F.lit(1), i))).alias("key"))
     longer = begun.join(F.broadcast(ends), F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k"))).groupBy("s", "k").agg(F.sum("total").alias("longer"))
     pieces = kept.join(longer, F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k")) & (F.col("kind") == "closer"), "left")
     kept = pieces.where("longer IS NULL OR longer < n")

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import truncation as K
@@ -66,3 +68,21 @@ def test_no_cases(spark):
     assert sorted(r.doc_id for r in K.found(docs).collect()) == [4, 4, 5]
     assert {r.source: r.texts for r in K.rates(docs).collect()} == {"a": 1, None: 2}
     assert K.found(docs.limit(0)).count() == 0 and K.rates(docs.limit(0)).count() == 0
+
+
+def test_counts_do_not_depend_on_partitions():
+    """Words that are rare in each partition count in full."""
+    texts = ["the total F is\nsee F", "F of it\nF", "an F here", "F", "w" * 90 + " F x"] * 3
+
+    def sums(parts):
+        out = Counter()
+        for part in parts:
+            for b in K._count(iter([pa.record_batch([pa.array(["s"] * len(part)), pa.array(part)], names=["source", "text"])])):
+                for r in b.to_pylist():
+                    out[r["kind"], r["key"], "n"] += r["n"]
+                    out[r["kind"], r["key"], "total"] += r["total"]
+        return +out
+
+    whole = sums([texts])
+    assert whole["closer", "F", "total"] == 21 and whole["closer", "w" * 41, "total"] == 3
+    assert sums([[t] for t in texts]) == whole

@@ -121,7 +121,7 @@ def closing_shapes(text: str) -> set[str]:
 
 _STAT = T.StructType([T.StructField("source", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("key", T.StringType()), T.StructField("n", T.LongType()), T.StructField("total", T.LongType())])
 _STAT_ARROW = pa.schema([("source", pa.string()), ("kind", pa.string()), ("key", pa.string()), ("n", pa.int64()), ("total", pa.int64())])
-_FLUSH = 200_000
+_FLUSH, _FLUSH_LETTERS = 200_000, 20_000_000
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +129,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends: Counter = Counter()
     words: dict = {}
     other: Counter = Counter()
+    letters = 0  # of item shapes, which may be of any length
 
     def flush() -> pa.RecordBatch:
         rows = [(s, "closer", w, n, words[s][w]) for (s, w), n in ends.items()] + [(s, k, x, n, 0) for (s, k, x), n in other.items()]
@@ -148,14 +149,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(w[0]) <= LONGEST_CLOSER and not _TERMINAL.search(w[0]) and not _NO_CLOSER.search(w[0]):
                         ends[source, w[0]] += 1
             for line in lines[:-1]:
-                if (m := _ITEM.fullmatch(line)) and len(m[1]) <= LONGEST_SHAPE:
-                    other[source, "item", shape(m[1])] += 1
+                if m := _ITEM.fullmatch(line):
+                    other[source, "item", s := shape(m[1])] += 1
+                    letters += len(s)
             if not _TERMINAL.search(text):
                 for s in closing_shapes(text):
                     other[source, "shape", s] += 1
-        if len(ends) + len(other) + sum(map(len, words.values())) > _FLUSH:
+        if len(ends) + len(other) + sum(map(len, words.values())) > _FLUSH or letters > _FLUSH_LETTERS:
             yield flush()
-            ends, words, other = Counter(), {}, Counter()
+            ends, words, other, letters = Counter(), {}, Counter(), 0
     if other:
         yield flush()
 

@@ -86,3 +86,12 @@ def test_counts_do_not_depend_on_partitions():
     whole = sums([texts])
     assert whole["closer", "F", "total"] == 21 and whole["closer", "w" * 41, "total"] == 3
     assert sums([[t] for t in texts]) == whole
+
+
+def test_long_items_that_break_off(spark):
+    """Items of any length teach their shape; one that breaks off in the middle is cut."""
+    long = "send the signed copy of the amended statement to the office of the clerk together with every receipt for the quarter"
+    rows = [(i, "s", f"Please do this.\n- check the index\n- {long}\n- check the index") for i in range(40)] + [(99, "s", f"Please do this.\n- check the index\n- {long[:95]}")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    assert len(long) > K.LONGEST_SHAPE and K.ending(rows[-1][2], "s", K.line_habits(docs)) == ("open", "unknown item")
+    assert [r.doc_id for r in K.found(docs).collect()] == [99]

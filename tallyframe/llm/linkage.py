@@ -1,10 +1,11 @@
 """Matching entities across sources without keys: filings to legislators by noisy attributes, with a confidence.
 
-Candidates come from a symmetric-delete index over surnames, which covers all that `compare_surname` accepts. On each candidate many heuristic matching functions vote
-(match, no match, abstain). A generative model is fitted to the counts of all vote patterns by expectation
-maximisation: it learns how often each function votes what on true and on false candidates, and joins functions whose
-votes stay correlated given the class into one factor. Its posterior is the confidence of a match. An exact check
-follows: the best candidate is named only if nothing rules it out (another given name, middle name or suffix).
+Candidates come from a symmetric-delete index over surnames, which covers all that `compare_surname` accepts. On each
+candidate many heuristic matching functions vote (match, no match, abstain). A generative model is fitted to the counts
+of all vote patterns by expectation maximisation, which begins with the plain majority: it learns how often each function
+votes what on true and on false candidates, and joins functions whose votes stay correlated given the class into one
+factor. Its posterior is the confidence, and a candidate is accepted from one half on. An exact check follows: the best
+candidate is named only if nothing rules it out (another given name, middle name or suffix); the fit knows nothing of it.
 
 Defined cases
 * Filings with a bioguide_id aren't looked at; repeated entries each get their own row.
@@ -32,6 +33,8 @@ from tallyframe.session import cut_lineage
 
 # The index over the smaller side is sent to all workers only up to so many persons; beyond, candidates are joined.
 MAX_INDEXED = 50_000
+# The vocabulary of given names is a model that is fitted to at most so many names, the most frequent ones.
+MOST_NAMES = 100_000
 
 VOTERS = ("surname_same", "surname_near", "given_full", "given_initial", "middle", "suffix", "district", "state", "filing_kind", "alignment", "only_one")
 # Filing types of sitting members, and of candidates.
@@ -69,8 +72,7 @@ def vocabulary(legislators: DataFrame) -> GivenNames:
     """Formal given names and nicknames as the legislators table has them (first names, and official against first)."""
     first = F.lower(F.try_element_at(F.split(F.trim("name.first"), r"[\s.]+"), F.lit(1)))
     daily = F.lower(F.try_element_at(F.split(F.trim("name.official_full"), r"[\s.]+"), F.lit(1)))
-    # As many rows as there are distinct given names.
-    rows = legislators.select(first.alias("formal"), daily.alias("daily")).where("length(formal) > 1").distinct().collect()
+    rows = legislators.select(first.alias("formal"), daily.alias("daily")).where("length(formal) > 1").groupBy("formal", "daily").count().orderBy(F.desc("count"), "formal", "daily").limit(MOST_NAMES).collect()
     return GivenNames({fold(r[0]) for r in rows}, learn_nicknames((fold(r[0]), fold(r[1])) for r in rows))
 
 
@@ -209,14 +211,14 @@ class LabelModel:
     def fit(self, patterns: list[tuple[int, ...]], counts: list[int]) -> np.ndarray:
         """The posterior of a match for each pattern. As many patterns as occur, whatever the number of candidates."""
         v, n = np.array(patterns), np.array(counts, dtype=float)
-        # Start: what rules a match out, and else the majority.
+        # Start: the majority.
         start = v.sum(axis=1) / len(VOTERS)
-        q = np.where([ruled_out(tuple(x)) for x in patterns], 0.05, 0.5 + 0.45 * np.clip(start * 2, -1, 1))
+        q = 0.5 + 0.45 * np.clip(start * 2, -1, 1)
         self.factors = [(j,) for j in range(v.shape[1])]
         q = self._em(v, n, q)
         group = list(range(v.shape[1]))
         for a, b in itertools.combinations(range(v.shape[1]), 2):
-            if group.count(group[a]) + group.count(group[b]) <= 3 and group[a] != group[b] and self._residual(v[:, a], v[:, b], n, q) > self.correlated:
+            if group[a] != group[b] and self._residual(v[:, a], v[:, b], n, q) > self.correlated:
                 group = [group[a] if g == group[b] else g for g in group]
         self.factors = [tuple(j for j, g in enumerate(group) if g == x) for x in dict.fromkeys(group)]
         return self._em(v, n, q)
@@ -286,16 +288,26 @@ def candidates(filings: DataFrame, legislators: DataFrame) -> DataFrame:
 def _joined_candidates(narrow: DataFrame, people: DataFrame, given_names: GivenNames) -> DataFrame:
     """The same by a join on the keys, for more persons than fit into one index."""
 
-    @F.udf(T.ArrayType(T.StringType()))
-    def forms(first, last):
-        return sorted(read_name(first, last, None, given_names).surname_forms())
+    def spelled(side: DataFrame, name: str) -> DataFrame:
+        """The rows once for each surname form, read in Arrow batches."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                forms = [sorted(read_name(first, last, None, given_names).surname_forms()) for first, last in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forms, pa.list_(pa.string()))], names=[*batch.schema.names, "forms"])
+
+        ordered = side.select("first", "last", *(c for c in side.columns if c not in ("first", "last")))
+        return ordered.mapInArrow(run, T.StructType([*ordered.schema, T.StructField("forms", T.ArrayType(T.StringType()))])).withColumn(name, F.explode("forms")).drop("forms")
 
     # The keys are made of the distinct forms only; what is alike is joined back.
-    left = narrow.withColumn("form_a", F.explode(forms("first", "last")))
-    right = people.withColumn("form_b", F.explode(forms("first", "last"))).select("form_b", F.struct("bioguide", "first", "last", "official_full", "terms").alias("person"))
+    left = spelled(narrow, "form_a")
+    right = spelled(people, "form_b").select("form_b", F.struct("bioguide", "first", "last", "official_full", "terms").alias("person"))
+    # A filing gathers the candidates of its own seat and year only, however many people bear the surname.
     held = F.exists("person.terms", lambda t: F.col("coverage_year").between(F.year(t["start"]), F.year(t["start"]) + 1))
+    state = F.nullif(F.upper("state"), F.lit(""))
+    there = state.isNull() | (state == F.element_at(F.filter("person.terms", lambda t: t["start"].isNotNull()), -1)["state"])
     one, other = (cut_lineage(side.select(F.col(c).alias("form")).distinct()) for side, c in ((left, "form_a"), (right, "form_b")))
-    pairs = left.join(near_forms(one, other), "form_a").join(right, "form_b").where(held).groupBy(*narrow.columns).agg(F.collect_set("person").alias("extra"))
+    pairs = left.join(near_forms(one, other), "form_a").join(right, "form_b").where(held & there).groupBy(*narrow.columns).agg(F.collect_set("person").alias("extra"))
 
     def near(name, extra):
         found = (read_person(*p.values(), given_names) for p in sorted(extra, key=lambda p: p["bioguide"]))
@@ -304,8 +316,10 @@ def _joined_candidates(narrow: DataFrame, people: DataFrame, given_names: GivenN
     return pairs.select(*narrow.columns, "extra").mapInArrow(_score(given_names, near), _PAIR)
 
 
-def link(filings: DataFrame, legislators: DataFrame) -> DataFrame:
-    """(row_no, bioguide, confidence, accepted): the best candidate of each filing that has one."""
+def link(filings: DataFrame, legislators: DataFrame, check: bool = True) -> DataFrame:
+    """(row_no, bioguide, confidence, accepted): the best candidate of each filing that has one.
+
+    Without the check the model alone decides."""
     spark = filings.sparkSession
     pairs = cut_lineage(candidates(filings, legislators))
     # As many rows as there are patterns of votes.
@@ -314,7 +328,7 @@ def link(filings: DataFrame, legislators: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "row_no long, bioguide string, confidence double, accepted boolean")
     patterns = [decode(r[0]) for r in seen]
     posterior = LabelModel().fit(patterns, [r[1] for r in seen])
-    table = {r[0]: (float(p), not ruled_out(v)) for r, p, v in zip(seen, posterior, patterns)}
+    table = {r[0]: (float(p), not (check and ruled_out(v))) for r, p, v in zip(seen, posterior, patterns)}
     sent = spark.sparkContext.broadcast(table)
     out = T.StructType([T.StructField("row_no", T.LongType()), T.StructField("bioguide", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
 

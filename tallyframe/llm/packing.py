@@ -6,8 +6,9 @@ has a bin that is compatible: a bin holds no two texts of one duplicate cluster,
 conflict. Bins carry this as bitmaps, kept the other way round (the bins of each cluster, source and residual), so that
 all bins of a residual are tested at once. Among equally tight bins one without the item's source is taken.
 
-Texts are spread over independent shares by a hash of their id, of a bounded number of texts each; the copies of one
-text, however many, are spread as well. A share of BIN_TEXTS texts leaves a few partly filled bins.
+Texts are spread over independent shares of about BIN_TEXTS texts each by a hash of their id and their place in the
+input, so that copies of one text, also those under one id or none, are spread as well. A share leaves a few partly
+filled bins.
 
 Defined cases
 * A text that is longer than a container fills containers of its own; its last piece is an item like any other.
@@ -27,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.text import strip_unicode
 from tallyframe.llm.tokens import token_counts
 
 BIN_TEXTS = 50_000
@@ -118,16 +120,16 @@ def pack(sizes: list[int], sources: list, clusters: list, ids: list, capacity: i
 
 
 def duplicate_cluster(text: Column) -> Column:
-    """Copies of one text, regardless of case and of white space around it."""
-    return F.xxhash64(F.lower(F.trim(text)))
+    """Copies of one text, regardless of case and of white space of any kind around it."""
+    return F.xxhash64(F.lower(strip_unicode(text)))
 
 
 def fill(docs: DataFrame, capacity: int = 2048, conflicts: Mapping[str, frozenset[str]] = {}, key: str = "doc_id", path: str | None = None, share: int = BIN_TEXTS) -> DataFrame:
     """(key, piece, container, offset, n_tokens): where each text, or each piece of one too long, goes.
 
     Sizes come from `token_counts`. One shuffle of ids and sizes; the texts themselves stay where they are read."""
-    sized = token_counts(docs.select(F.col(key).alias("id"), "source", duplicate_cluster(F.col("text")).alias("cluster"), "text"), ["id", "source", "cluster"], path=path)
-    shares = max(1, -(-docs.count() // share))
+    sized = token_counts(docs.select(F.col(key).alias("id"), "source", duplicate_cluster(F.col("text")).alias("cluster"), F.monotonically_increasing_id().alias("place"), "text"), ["id", "source", "cluster", "place"], path=path)
+    shares = max(1, -(-docs.count() // share))  # of Parquet only the footers are read for this
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share_rows = list(batches)  # a bounded number of texts
@@ -151,7 +153,8 @@ def fill(docs: DataFrame, capacity: int = 2048, conflicts: Mapping[str, frozense
             names=[key, "piece", "container", "offset", "n_tokens"],
         )
 
-    spread = sized.repartition(shares, F.xxhash64("id", "cluster"))
+    # The place is the same whenever a partition is computed again.
+    spread = sized.repartition(shares, F.xxhash64("id", "cluster", "place")).drop("place")
     return spread.mapInArrow(run, f"`{key}` bigint, piece int, container bigint, offset int, n_tokens int")
 
 

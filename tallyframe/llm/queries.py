@@ -40,9 +40,12 @@ def _stratum():
     return F.concat_ws("/", F.coalesce("pdf_class", F.lit("unknown")), F.when(F.col("filing_type.code") == "P", "ptr").otherwise("other"))
 
 
+# Fixed rates: a tenth of the filings with a text layer, a fifth of the rarer classes.
+RATES, OTHER_RATE = {"efiled/ptr": 0.1, "efiled/other": 0.1}, 0.2
+
+
 def p3_sample(spark: SparkSession, d: str) -> DataFrame:
-    """A tenth of each stratum, at least about 50 documents while it is small."""
-    return stable.sample(table(spark, d, "filings"), "doc_id", _stratum(), 0.1, 50, "review")
+    return stable.sample(table(spark, d, "filings"), "doc_id", _stratum(), RATES, OTHER_RATE, "review")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -68,15 +71,10 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_linked, p2_sample, p2_report, p3_sample, p5_found, p8_ids, p9_filled, p10_found, p10_rates)}
 ORACLE = {
     "p3_sample": """
-WITH entry AS (
-  SELECT doc_id, load_no, concat_ws('/', coalesce(pdf_class, 'unknown'), CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END) AS stratum,
-    row_number() OVER (PARTITION BY doc_id ORDER BY load_no NULLS LAST, row_no) AS k
-  FROM filings WHERE trim(coalesce(doc_id, '')) <> ''),
-doc AS (SELECT doc_id, load_no, stratum FROM entry WHERE k = 1),
-per AS (SELECT stratum, load_no, count(*) AS n FROM doc GROUP BY ALL),
-want AS (SELECT stratum, least(1.0::DOUBLE, 50.0::DOUBLE / sum(n) OVER (PARTITION BY stratum ORDER BY load_no NULLS LAST)) AS w FROM per),
-lim AS (SELECT stratum, greatest(0.1::DOUBLE, max(w)) AS threshold FROM want GROUP BY 1)
-SELECT doc_id, stratum, threshold FROM doc JOIN lim USING (stratum)
+WITH doc AS (
+  SELECT doc_id, arg_min(concat_ws('/', coalesce(pdf_class, 'unknown'), CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END), (load_no IS NULL, coalesce(load_no, 0), row_no)) AS stratum
+  FROM filings WHERE trim(coalesce(doc_id, '')) <> '' GROUP BY 1)
+SELECT doc_id, stratum, CASE WHEN starts_with(stratum, 'efiled/') THEN 0.1::DOUBLE ELSE 0.2::DOUBLE END AS threshold FROM doc
 WHERE CAST(('0x' || substr(sha256('review:' || doc_id), 1, 15))::BIGINT AS DOUBLE) / 1152921504606846976.0 < threshold
 """,
 }

@@ -2,8 +2,8 @@
 
 Categories are counted; in each dimension integer quotas are allocated by largest remainder, with minimum floors and
 capped by what is available. The joint cells of all dimensions are fitted to the quotas (iterative proportional fitting
-from the counts, capped), rounded by largest remainder and repaired by single moves; each cell then takes the rows with
-the smallest random keys. What couldn't be met is reported.
+from the counts, capped), rounded by largest remainder and brought nearer by moves between any two cells; each cell then
+takes the rows with the smallest random keys. What couldn't be met is reported, and which targets stand in its way.
 
 Defined cases
 * A null category of the targets means a null value; rows of categories without a target aren't sampled.
@@ -72,36 +72,42 @@ def fit_cells(counts: np.ndarray, margins: list[np.ndarray], rounds: int = 500)
             whole.ravel()[i] += 1
     whole = np.minimum(whole, counts)
 
-    def gap(cells: np.ndarray) -> list[np.ndarray]:
-        return [margins[a] - cells.sum(axis=others[a]) for a in axes]
+    return _nearest(whole, counts, margins)
 
-    # Moves: add to a cell, take from one, or both, while the summed deviation of all axes falls.
-    while True:
-        g = gap(whole)
-        need = sum(np.where(g[a] > 0, -1.0, 1.0).reshape([-1 if b == a else 1 for b in axes]) for a in axes) + np.zeros(counts.shape)
-        spare = sum(np.where(g[a] < 0, -1.0, 1.0).reshape([-1 if b == a else 1 for b in axes]) for a in axes) + np.zeros(counts.shape)
-        add = np.where(whole < counts, need, np.inf)
-        take = np.where(whole > 0, spare, np.inf)
-        i, j = int(add.argmin()) if add.size else -1, int(take.argmin()) if take.size else -1
-        if i < 0:
-            return whole
-        before = sum(np.abs(v).sum() for v in g)
-        best, found = before, None
-        for plus, minus in ((i, None), (None, j), (i, j)):
-            trial = whole.copy()
-            if plus is not None:
-                if not np.isfinite(add.ravel()[plus]):
-                    continue
-                trial.ravel()[plus] += 1
-            if minus is not None:
-                if not np.isfinite(take.ravel()[minus]):
-                    continue
-                trial.ravel()[minus] -= 1
-            if (after := sum(np.abs(v).sum() for v in gap(trial))) < best:
-                best, found = after, trial
-        if found is None:
-            return whole
-        whole = found
+
+def _nearest(whole: np.ndarray, counts: np.ndarray, margins: list[np.ndarray]) -> np.ndarray:
+    """Moves rows while the summed deviation from all margins falls: one more, one less, or one from a cell to another.
+
+    Each step looks at every such move (all pairs of the cells, of which there are few) and takes the best one."""
+    axes = range(counts.ndim)
+    others = [tuple(b for b in axes if b != a) for a in axes]
+    at = np.indices(counts.shape).reshape(counts.ndim, -1)
+    cells, most = whole.ravel().copy(), counts.ravel()
+    while cells.size:
+        have = [margins[a] - cells.reshape(counts.shape).sum(axis=others[a]) for a in axes]
+        plus = [(np.abs(g - 1) - np.abs(g))[at[a]] for a, g in enumerate(have)]
+        minus = [(np.abs(g + 1) - np.abs(g))[at[a]] for a, g in enumerate(have)]
+        can_add, can_take = np.flatnonzero(cells < most), np.flatnonzero(cells > 0)
+        moves: list[tuple[float, int, int]] = [(0.0, -1, -1)]
+        if can_add.size:
+            one = sum(p[can_add] for p in plus)
+            moves.append((float(one.min()), int(can_add[one.argmin()]), -1))
+        if can_take.size:
+            one = sum(m[can_take] for m in minus)
+            moves.append((float(one.min()), -1, int(can_take[one.argmin()])))
+        if can_add.size and can_take.size:
+            # Within one category of an axis a move leaves that axis as it is.
+            both = sum((plus[a][can_add][:, None] + minus[a][can_take][None, :]) * (at[a][can_add][:, None] != at[a][can_take][None, :]) for a in axes)
+            i, j = np.unravel_index(both.argmin(), both.shape)
+            moves.append((float(both[i, j]), int(can_add[i]), int(can_take[j])))
+        gain, add, take = min(moves, key=lambda m: m[0])
+        if gain >= 0:
+            break
+        if add >= 0:
+            cells[add] += 1
+        if take >= 0:
+            cells[take] -= 1
+    return cells.reshape(counts.shape)
 
 
 def _labels(targets: DataFrame) -> dict[str, list[tuple[str | None, float, int]]]:
@@ -113,7 +119,8 @@ def _labels(targets: DataFrame) -> dict[str, list[tuple[str | None, float, int]]
 
 
 def plan(rows: DataFrame, dimensions: Mapping[str, Column], targets: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """(cells: a column of each dimension and quota; report: a row for each target)."""
+    """(cells: a column of each dimension and quota; report: a row for the size, under the dimension `sample`, and one for
+    each target; limited_by names what keeps a row below its target)."""
     spark = rows.sparkSession
     labels = {d: v for d, v in _labels(targets).items() if d in dimensions}
     names = list(labels)
@@ -143,13 +150,27 @@ def plan(rows: DataFrame, dimensions: Mapping[str, Column], targets: DataFrame,
     chosen = [(*(labels[d][i][0] for d, i in zip(names, at)), int(taken[at])) for at in zip(*np.nonzero(taken))] if names else []
     cell_schema = ", ".join([*(f"`{d}` string" for d in names), "quota int"])
     total = int(taken.sum())
-    report = []
+    # Rows that could still be taken, and the categories that have as many as they should.
+    spare = counts - taken
+    full = [taken.sum(axis=others[a]) >= quotas[a] for a in range(len(names))]
+
+    def limits(a: int, i: int) -> str:
+        """What keeps a category below its target: its own rows, or full categories of the other dimensions."""
+        left = np.argwhere(np.take(spare, i, axis=a) > 0)
+        if not len(left):
+            return "available rows"
+        rest = [b for b in range(len(names)) if b != a]
+        barred = {(names[b], str(labels[names[b]][cell[k]][0])) for cell in left for k, b in enumerate(rest) if full[b][cell[k]]}
+        return ", ".join(f"{d}={c}" for d, c in sorted(barred)) or "sample size"
+
+    report = [("sample", None, 1.0, None, int(counts.sum()), float(size), total, 1.0 if total else 0.0, max(0, size - total), False, ("available rows" if counts.sum() < size else "targets that exclude each other") if total < size else None)]
     for a, d in enumerate(names):
         got = taken.sum(axis=others[a])
         for i, (c, s, m) in enumerate(labels[d]):
             ideal = s * size / (sum(x for _, x, _ in labels[d]) or 1)
-            report.append((d, c, s, m, int(marginal[d][i]), round(ideal, 6), int(got[i]), float(got[i] / total) if total else 0.0, max(0, int(np.ceil(max(ideal, m) - 1 + 1e-9)) - int(got[i])), int(got[i]) < m))
-    report_schema = "dimension string, category string, target_share double, min_rows int, available long, target_rows double, sampled int, sampled_share double, shortfall int, below_minimum boolean"
+            short = max(0, int(np.ceil(max(ideal, m) - 1 + 1e-9)) - int(got[i]))
+            report.append((d, c, s, m, int(marginal[d][i]), round(ideal, 6), int(got[i]), float(got[i] / total) if total else 0.0, short, int(got[i]) < m, limits(a, i) if short else None))
+    report_schema = "dimension string, category string, target_share double, min_rows int, available long, target_rows double, sampled int, sampled_share double, shortfall int, below_minimum boolean, limited_by string"
     return spark.createDataFrame(chosen, cell_schema), spark.createDataFrame(report, report_schema)
 
 

@@ -31,9 +31,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Fixed value: the characters that \s means there (Unicode White_Space).
 WHITE = "\t-\r \x85\xa0  -     　"
 
-# Texts are taken together up to so many characters; a worker's tables are begun anew beyond so many pieces.
+# Texts are taken together up to so many bytes; a worker's tables are begun anew beyond so many pieces or characters
+# (scripts without spaces make whole paragraphs pieces), so that their size is bounded by these and by one group.
 GROUP_CHARS = 4_000_000
-MOST_PIECES = 400_000
+MOST_PIECES, MOST_CHARS = 400_000, 16_000_000
 LONG_PIECE = 256
 
 
@@ -91,6 +92,15 @@ class RankQueue:
         return rank
 
 
+def _with_room(table: np.ndarray, size: int) -> np.ndarray:
+    """The table, or a copy of twice its length or more, that holds at least `size` entries."""
+    if size <= len(table):
+        return table
+    more = np.zeros(max(size, 2 * len(table)), table.dtype)
+    more[: len(table)] = table
+    return more
+
+
 class BytePairs:
     """A byte-level BPE vocabulary with its merges."""
 
@@ -120,9 +130,10 @@ class BytePairs:
         self.known: dict[str, list[int]] = {}  # ids of pre-tokens
         self.pieces: dict[str, int] = {}  # place in the tables below of a piece that follows a space
         self.openings: dict[str, int] = {}  # the same of a text's first piece, which no space precedes
-        self.n_pieces = 0
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
+        self.n_pieces = self.n_chars = self.n_ids = 0
+        # With room to grow: doubled when full, so that learning costs no more than what is learned.
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 14, np.int64)
 
     def merge(self, pre_tokens: list[bytes]) -> list[list[int]]:
         """The ids of each pre-token, all of them through one rank queue."""
@@ -183,18 +194,22 @@ class BytePairs:
         todo = list(dict.fromkeys(t for ts in split for t in ts if t not in self.known))
         fresh = dict(zip(todo, self.merge([t.encode("utf-8") for t in todo]))) if todo else {}
         self.known.update((t, ids) for t, ids in fresh.items() if len(t) <= LONG_PIECE)
-        flat, ends, total = [], [], int(self.starts[-1])
+        flat, ends, total = [], [], self.n_ids
         for ts in split:
             for t in ts:
                 ids = fresh.get(t)
                 flat.extend(ids if ids is not None else self.known[t])
             ends.append(total + len(flat))
-        self.ids = np.concatenate([self.ids, np.array(flat, np.int32)])
-        self.starts = np.concatenate([self.starts, np.array(ends, np.int64)])
+        self.ids = _with_room(self.ids, total + len(flat))
+        self.ids[total : total + len(flat)] = flat
+        self.starts = _with_room(self.starts, self.n_pieces + len(ends) + 1)
+        self.starts[self.n_pieces + 1 : self.n_pieces + len(ends) + 1] = ends
+        self.n_ids = total + len(flat)
+        self.n_chars += sum(map(len, new))
 
     def _places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(place of each piece of all texts, number of pieces up to each text's end)."""
-        if self.n_pieces > MOST_PIECES:
+        if self.n_pieces > MOST_PIECES or self.n_chars > MOST_CHARS:
             self.clear()
         counts, order, new = [0], [], []
         get = self.pieces.get
@@ -220,14 +235,14 @@ class BytePairs:
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """The number of tokens of each text."""
         places, ends = self._places(texts)
-        sizes = np.concatenate([[0], np.cumsum(np.diff(self.starts)[places])])
+        sizes = np.concatenate([[0], np.cumsum(self.starts[places + 1] - self.starts[places])])
         return np.diff(sizes[ends])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's ids, from 0)."""
         places, ends = self._places(texts)
-        begin = self.starts[:-1][places]
-        size = np.diff(self.starts)[places]
+        begin = self.starts[places]
+        size = self.starts[places + 1] - begin
         upto = np.concatenate([[0], np.cumsum(size)])
         source = np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])
         return self.ids[source], upto[ends]

@@ -2,7 +2,8 @@
 
 Three passes, each over all texts:
 1. What whole lines look like in each source is counted: last words that nearly always end a line (`closers`), shapes
-   of list items that another line follows, and shapes of last segments that recur as closing lines.
+   of list items that another line follows, shapes of last segments that recur as closing lines, words that a lone letter
+   follows as their label ("Part B"), and whether sums of money are given with cents.
 2. Each ending is inspected with that: it is `open` (breaks off), `weak` (whole as far as can be seen, but could be the
    beginning of something longer, as a name is), or `firm`. The text's length is taken again under alternative
    encodings, entity escaping, JSON escaping and newline conversion, with and without a mark of truncation.
@@ -14,15 +15,17 @@ Defined cases
 * White space, control and invisible characters at the end are ignored, as are emoji after a whole ending.
 * A null source is a source of its own.
 * Shares of a source decide, not absolute counts, except that a habit needs HABIT_LINES lines and a limit LIMIT_DOCS
-  open endings.
+  open endings. The counts are over all texts and whole texts, and their sums don't depend on how the texts are parted.
+* Texts, lines, words and list items may be of any length. A word of more than LONGEST_CLOSER characters is no closer.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,23 +35,28 @@ from pyspark.sql.window import Window
 
 from tallyframe.session import cut_lineage
 
-# Shares of a source's texts from which a closer, an item shape and a closing shape count.
-CLOSER_SHARE, CLOSER_RATE, ITEM_SHARE, SHAPE_SHARE = 0.01, 0.9, 0.0005, 0.01
+# From which share of a source's texts a closer, an item shape and a closing shape count, and how often a closer must end
+# a line; which share of the uses of a word before a lone letter must show that the letter is no initial.
+CLOSER_SHARE, CLOSER_RATE, ITEM_SHARE, SHAPE_SHARE, LABEL_RATE = 0.01, 0.9, 0.0005, 0.01, 0.03
+# A habit must also be this share of all of its kind (line ends, items, lone letters) in a source. So of each kind there
+# are at most 1 / BOUND habits (2 / SHAPE_SHARE closing shapes, as a text gives two at most), however many texts.
+BOUND = 0.0003
 # Below so many lines no habit is taken for one; a shape with longer forms so many times as frequent is their beginning.
 HABIT_LINES, LONGER_TIMES = 4, 3
 LIMIT_DOCS, LIMIT_SHARE, LIMIT_TIMES, NEIGHBOURS = 6, 0.001, 6.0, 20
+# A longer shape is told by its beginning and a hash of the whole.
 LONGEST_SHAPE = 80
 # Of a longer word only its beginning matters, as a word that a closer may be a piece of.
 LONGEST_CLOSER = 40
 
 # Marks that say that more text followed.
 MARKS = re.compile(r"(?:…|\.\.\.|�|\[(?:\.\.\.|…|more|truncated|cont(?:inued|\.)?)\]|\((?:more|cont(?:inued|\.)?|truncated|\.\.\.|…)\)|>>|»»|&(?:[a-z]{1,5}|#[0-9x]{0,5}))$", re.I)
-# Words before a single letter that is a label, not an initial.
-LABELS = {"schedule", "anexo", "annexe", "part", "section", "form", "line", "class", "exhibit", "appendix"}
 
 _TERMINAL = re.compile(r"[.?!。？！][\"'”’»)\]]*$")
 _ITEM = re.compile(r"\s*[-*•]\s+(\S.*)")
+_LONE = re.compile(r" ([^\W\d_])(\.?)(?=[\s,;:)]|$)")
 _INITIAL = re.compile(r"(?:(\w+)\s+)?\b([^\W\d_])\.$")
+_SUM = re.compile(r"(?<!- )\$[0-9]{1,3}(?:,[0-9]{3})+(\.[0-9]{2})?(?![0-9]|\s*-)")
 _DOLLARS = re.compile(r"(?<!- )\$[0-9]{1,3}(?:,[0-9]{3})+\.$")
 _WRAPPED, _SPACES = re.compile(r"(?<=[^\W\d_])-\s*[\r\n]+\s*"), re.compile(r"\s+")
 _NO_CLOSER = re.compile(r"[0-9,;:\-]|^&")
@@ -98,23 +106,44 @@ def without_mark(text: str) -> tuple[str, bool]:
     return bare, False
 
 
+def last_line(text: str) -> str:
+    return text[max(text.rfind("\n"), text.rfind("\r")) + 1 :].strip()
+
+
 def last_segment(text: str) -> str:
-    """The last line, or what follows the last separator in it."""
-    tail = text[-400:]
+    """What follows the last separator of the last line, or all of it."""
+    line = last_line(text)
     at = 0
-    for m in _SEGMENT.finditer(tail):
-        if m.end() < len(tail):
+    for m in _SEGMENT.finditer(line):
+        if m.end() < len(line):
             at = m.end()
-    return tail[at:].strip()
+    return line[at:].strip()
 
 
-def last_line(text: str) -> str:
-    return text[max(text.rfind("\n"), text.rfind("\r")) + 1 :].strip()
+def last_words(text: str, n: int = 4) -> str:
+    """The text's end from its last n words on, with hyphenated line breaks undone."""
+    head = text.rsplit(None, n)
+    tail = text[len(head[0]) :] if len(head) > n else text
+    return _SPACES.sub(" ", _WRAPPED.sub("", tail)).strip()
+
+
+def word_before(text: str, at: int) -> str:
+    """The word that ends at a place, in lower case."""
+    start = at
+    while start and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return text[start:at].lower()
+
+
+def shape_key(line: str) -> str:
+    """The shape of a line; of a long one its beginning and a hash of the whole."""
+    s = shape(line)
+    return s if len(s) <= LONGEST_SHAPE else f"{s[:LONGEST_SHAPE]}\x02{blake2b(s.encode('utf-8', 'surrogatepass'), digest_size=8).hexdigest()}"
 
 
 def closing_shapes(text: str) -> set[str]:
-    """Shapes of the last line and of its last segment, as far as they are short."""
-    return {shape(x) for x in (last_line(text), last_segment(text)) if len(x) <= LONGEST_SHAPE}
+    """Shapes of the last line and of its last segment."""
+    return {shape_key(x) for x in (last_line(text), last_segment(text))}
 
 
 # ---------------------------------------------------------------- pass 1
@@ -129,12 +158,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends: Counter = Counter()
     words: dict = {}
     other: Counter = Counter()
-    letters = 0  # of item shapes, which may be of any length
+    lone: dict = defaultdict(lambda: [0, 0])  # lone letters after a word without and with a point; sums with cents and without
+    letters = 0  # of shapes, which may be of any length
 
     def flush() -> pa.RecordBatch:
         rows = [(s, "closer", w, n, words[s][w]) for (s, w), n in ends.items()] + [(s, k, x, n, 0) for (s, k, x), n in other.items()]
         # Words that ended no line here still count for those that end one elsewhere.
         rows += [(s, "closer", w[: LONGEST_CLOSER + 1], 0, n) for s, c in words.items() for w, n in c.items() if (s, w) not in ends]
+        rows += [(s, "cents" if w == "$" else "label", w, n[0], sum(n)) for (s, w), n in lone.items()]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _STAT_ARROW)], schema=_STAT_ARROW)
 
     for batch in batches:
@@ -148,34 +179,59 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if w := line.rsplit(None, 1)[-1:]:
                     if len(w[0]) <= LONGEST_CLOSER and not _TERMINAL.search(w[0]) and not _NO_CLOSER.search(w[0]):
                         ends[source, w[0]] += 1
+                        other[source, "all closer", ""] += 1
             for line in lines[:-1]:
                 if m := _ITEM.fullmatch(line):
                     other[source, "item", s := shape(m[1])] += 1
+                    other[source, "all item", ""] += 1
                     letters += len(s)
             if not _TERMINAL.search(text):
                 for s in closing_shapes(text):
-                    other[source, "shape", s] += 1
-        if len(ends) + len(other) + sum(map(len, words.values())) > _FLUSH or letters > _FLUSH_LETTERS:
+                    if not _may_be_piece(s):
+                        other[source, "shape", s] += 1
+                        letters += len(s)
+            for m in _LONE.finditer(text):
+                if m[1].isupper() and (w := word_before(text, m.start())):
+                    # No initial if it stands without a point or where a text ends. Words are those of all sources.
+                    lone["", w[:LONGEST_CLOSER]][bool(m[2]) and m.end() < len(text)] += 1
+                    other["", "all label", ""] += 1
+            if "$" in text:
+                for m in _SUM.finditer(text):
+                    lone[source, "$"][not m[1]] += 1
+        if len(ends) + len(other) + len(lone) + sum(map(len, words.values())) > _FLUSH or letters > _FLUSH_LETTERS:
             yield flush()
-            ends, words, other, letters = Counter(), {}, Counter(), 0
+            ends, words, other, letters, lone = Counter(), {}, Counter(), 0, defaultdict(lambda: [0, 0])
     if other:
         yield flush()
 
 
+def _may_be_piece(key: str) -> bool:
+    """Words and names alone may be a piece of a sentence, and an open bracket is a piece of anything."""
+    return not re.search(r"[^A-Za-z\s'’]", key) or not _balanced(key.partition("\x02")[0])
+
+
 def line_habits(docs: DataFrame) -> dict:
-    """{(source, kind): keys}: closers, item shapes and closing shapes of each source.
+    """{(source, kind): keys}: closers, item shapes, closing shapes, labels (of all sources, under '') and cents.
 
-    Counted over all texts; what passes the shares is at most 1 / share keys for each source and kind."""
+    Counted over all texts; what passes is a bounded number of keys for each source and kind (see BOUND), and
+    sources are few, so that the habits are small enough to be collected and sent."""
     stats = docs.select("source", "text").mapInArrow(_count, _STAT).groupBy("source", "kind", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     stats = cut_lineage(stats)  # read four times below
-    # The number of texts of each source: a row for each source.
-    counts = stats.where("kind = 'docs'").select(F.col("source").alias("s"), F.col("n").alias("docs"))
-    least = F.when(F.col("kind") == "closer", CLOSER_SHARE).when(F.col("kind") == "item", ITEM_SHARE).otherwise(SHAPE_SHARE)
-    kept = stats.where("kind <> 'docs' AND n > 0").join(F.broadcast(counts), F.col("source").eqNullSafe(F.col("s")))
-    kept = kept.where((F.col("n") >= least * F.col("docs")) & ((F.col("n") >= HABIT_LINES) | (F.col("kind") == "item")))
-    kept = kept.where((F.col("kind") != "closer") | (F.col("n") >= CLOSER_RATE * F.col("total"))).select("source", "kind", "key", "n")
+    # The number of texts, line ends, items and lone letters: a row for each source.
+    total = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    counts = stats.where("kind = 'docs' OR kind LIKE 'all %'").groupBy(F.col("source").alias("s")).agg(total("docs").alias("docs"), total("all closer").alias("ends"), total("all item").alias("items"), total("all label").alias("lone"))
+    kept = stats.where("n > 0 AND kind IN ('closer', 'item', 'shape', 'label', 'cents')").join(F.broadcast(counts), F.col("source").eqNullSafe(F.col("s")))
+    n, kind = F.col("n"), F.col("kind")
+    often = (
+        F.when(kind == "closer", (n >= CLOSER_SHARE * F.col("docs")) & (n >= BOUND * F.col("ends")) & (n >= CLOSER_RATE * F.col("total")))
+        .when(kind == "item", (n >= ITEM_SHARE * F.col("docs")) & (n >= BOUND * F.col("items")))
+        .when(kind == "shape", n >= SHAPE_SHARE * F.col("docs"))
+        .when(kind == "label", (n >= LABEL_RATE * F.col("total")) & (n >= BOUND * F.col("lone")))
+        .otherwise(n >= 0.5 * F.col("total"))
+    )
+    kept = kept.where(often & ((n >= HABIT_LINES) | (kind == "item"))).select("source", "kind", "key", "n")
     # What is but the beginning of words from inside of lines is no closer: the pieces that cutting leaves.
-    ends = kept.where("kind = 'closer'").select(F.col("source").alias("s"), F.col("key").alias("k"))  # at most 1 / CLOSER_SHARE for each source
+    ends = kept.where("kind = 'closer'").select(F.col("source").alias("s"), F.col("key").alias("k"))  # at most 1 / share for each source
     inner = stats.where("kind = 'closer' AND n < 0.5 * total AND length(key) > 1")
     begun = inner.select("source", "total", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("key") - 1, F.lit(LONGEST_CLOSER))), lambda i: F.substring("key", F.lit(1), i))).alias("key"))
     longer = begun.join(F.broadcast(ends), F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k"))).groupBy("s", "k").agg(F.sum("total").alias("longer"))
@@ -183,9 +239,7 @@ def line_habits(docs: DataFrame) -> dict:
     kept = pieces.where("longer IS NULL OR longer < n")
     habits: dict = {}
     for source, kind, key, n in kept.select("source", "kind", "key", "n").collect():
-        # Words and names alone may be a piece of a sentence, and an open bracket is a piece of anything.
-        if kind != "shape" or (re.search(r"[^A-Za-z\s'’]", key) and _balanced(key)):
-            habits.setdefault((source, kind), {})[key] = n
+        habits.setdefault((source, kind), {})[key] = n
     for (_, kind), keys in habits.items():
         if kind == "shape":
             for key in [k for k, n in keys.items() if sum(m for x, m in keys.items() if _continues(k, x)) >= LONGER_TIMES * n]:
@@ -206,7 +260,9 @@ def known_closing(text: str, shapes) -> bool:
 
 
 def _continues(short: str, long: str) -> bool:
-    """Whether the longer shape goes on where the shorter one ends, by more than digits of its last number."""
+    """Whether the longer shape goes on where the shorter one ends, by more than digits of its last number. Shapes that
+    are told by a hash go on nowhere."""
+    long = long.partition("\x02")[0]
     return len(long) > len(short) and long.startswith(short) and not (short.endswith("9") and not long[len(short) :].strip("9"))
 
 
@@ -242,10 +298,10 @@ def ending(text: str, source, habits: dict) -> tuple[str, str]:
         # An item of no known shape is whole, unless known ones begin like it or it stands alone among sentences.
         return (OPEN if not known or any(k.startswith(s) for k in known) else WEAK), "unknown item"
     if _TERMINAL.search(plain):
-        tail = _SPACES.sub(" ", _WRAPPED.sub("", plain[-200:]))
-        if (m := _INITIAL.search(tail)) and m[2].isupper() and (m[1] or "").lower() not in LABELS:
+        tail = last_words(plain)
+        if (m := _INITIAL.search(tail)) and m[2].isupper() and (m[1] or "").lower()[:LONGEST_CLOSER] not in habits.get(("", "label"), ()):
             return OPEN, "initial"
-        if _DOLLARS.search(tail):
+        if (source, "cents") in habits and _DOLLARS.search(tail):
             return OPEN, "amount"
         return FIRM, "sentence"
     if known_closing(plain, habits.get((source, "shape"), ())):

@@ -56,6 +56,18 @@ def test_two_damaged_letters_of_a_long_surname(spark, legislators, monkeypatch,
     assert {r.row_no: [c.bioguide for c in r.candidates] for r in K.candidates(table, legislators).collect()} == {1: ["W1"], 2: ["W1"]}
 
 
+def test_the_model_decides_without_the_check(spark, small):
+    """The check that follows changes no decision of the model, which doesn't know it."""
+    filings, known = spark.read.parquet(f"{small}/filings.parquet"), spark.read.parquet(f"{small}/legislators_current.parquet")
+    with_check, alone = (sorted((r.row_no, r.bioguide) for r in K.link(filings, known, check=c).where("accepted").collect()) for c in (True, False))
+    assert with_check == alone and len(alone) > 10
+
+
+def test_vocabulary_is_bounded(spark, legislators, monkeypatch):
+    monkeypatch.setattr(K, "MOST_NAMES", 1)
+    assert {"robert", "donald", "rosario"} & K.vocabulary(legislators).formal
+
+
 def test_empty_tables(spark, legislators):
     assert K.found(spark.createDataFrame([], FILING), legislators).count() == 0
     assert K.found(spark.createDataFrame([CASES[0][0]], FILING), spark.createDataFrame([], LEG)).count() == 0

@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,12 +64,39 @@ def test_sample_of_nothing(spark):
     dims = {"code": F.col("code")}
     assert quota.draw(filings(spark).limit(0), dims, targets, 10).count() == 0
     assert quota.draw(filings(spark), dims, targets.limit(0), 10).count() == 0
-    assert quota.plan(filings(spark).limit(0), dims, targets, 10)[1].first().shortfall == 10
+    assert {r.dimension: r.shortfall for r in quota.plan(filings(spark).limit(0), dims, targets, 10)[1].collect()} == {"sample": 10, "code": 10}
+
+
+def test_report_of_size_and_of_what_stands_in_the_way(spark):
+    """`error` occurs only without a class, and of those too few are wanted."""
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else "efiled", "error" if i % 10 == 0 else "ok") for i in range(1000)], "row_no long, pdf_class string, status string")
+    targets = spark.createDataFrame([("pdf_class", "efiled", 0.95, 0), ("pdf_class", None, 0.05, 0), ("status", "ok", 0.8, 0), ("status", "error", 0.2, 0)], TARGETS)
+    dims = {"pdf_class": F.col("pdf_class"), "status": F.col("status")}
+    report = {(r.dimension, r.category): r for r in quota.plan(rows, dims, targets, 200)[1].collect()}
+    total = report["sample", None]
+    assert total.sampled == quota.draw(rows, dims, targets, 200).count() and total.shortfall == 200 - total.sampled
+    short = {k: r.limited_by for k, r in report.items() if r.shortfall and k != ("sample", None)}
+    assert sum(r.shortfall for r in report.values()) == 30 + total.shortfall
+    assert short and all(why == {"efiled": "status=ok", "error": "pdf_class=None"}[c] for (_, c), why in short.items())
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=8, max_size=8), st.integers(0, 9), st.randoms(use_true_random=False))
+def test_cells_against_the_exact_optimum(cells, size, r):
+    """Over all allocations of 2 x 2 x 2 cells none is nearer to the margins."""
+    counts = np.array(cells).reshape(2, 2, 2)
+    margins = [np.array(quota.largest_remainder(size, [r.random() + 0.1, r.random() + 0.1], [0, 0], counts.sum(axis=tuple(b for b in range(3) if b != a)).tolist())) for a in range(3)]
+    off = lambda x: sum(np.abs(margins[a] - x.sum(axis=tuple(b for b in range(3) if b != a))).sum() for a in range(3))
+    best = min(off(np.array(x).reshape(2, 2, 2)) for x in itertools.product(*(range(c + 1) for c in cells)))
+    assert off(quota.fit_cells(counts, margins)) == best
+
+
+RATES = {"efiled": 0.1, "scanned": 0.3}
 
 
 def chosen(rows, **k):
-    args = {"rate": 0.1, "floor": 20, "salt": "s"} | k
-    return {r.doc_id: r.stratum for r in stable.sample(rows, "doc_id", F.coalesce("pdf_class", F.lit("none")), args["rate"], args["floor"], args["salt"]).collect()}
+    args = {"rates": RATES, "default": 0.2, "salt": "s", "earlier": None} | k
+    return {r.doc_id: r.stratum for r in stable.sample(rows, "doc_id", F.coalesce("pdf_class", F.lit("none")), args["rates"], args["default"], args["salt"], args["earlier"]).collect()}
 
 
 def test_stays_when_data_grow(spark):
@@ -79,19 +108,23 @@ def test_stays_when_data_grow(spark):
         before = now
     assert before == chosen(rows.orderBy(F.rand(1))) and before == chosen(rows.union(rows))
     assert chosen(rows, salt="t") != before
-    sizes = {}
-    for s in before.values():
-        sizes[s] = sizes.get(s, 0) + 1
-    assert all(n >= 10 for n in sizes.values())
+
+
+def test_a_small_stratum_that_grows_keeps_its_rate(spark):
+    rows = spark.range(10_010).select(F.col("id").alias("row_no"), F.concat(F.lit("d"), F.col("id").cast("string")).alias("doc_id"), F.lit("efiled").alias("pdf_class"), (F.col("id") >= 10).cast("int").alias("load_no"))
+    later = [d for d in chosen(rows) if int(d[1:]) >= 10]
+    assert 900 < len(later) < 1100
 
 
 def test_keys_that_identify_nothing(spark):
     rows = spark.createDataFrame([(1, None, "a", 1), (2, " ", "a", None), (3, "x", None, None), (4, "x", "b", 1)], "row_no long, doc_id string, pdf_class string, load_no int")
-    assert chosen(rows, rate=1.0) == {"x": "b"} and chosen(rows.limit(0)) == {}
+    assert chosen(rows, rates={}, default=1.0) == {"x": "b"} and chosen(rows.limit(0)) == {}
 
 
 def test_thresholds_are_never_lowered(spark):
-    entries = stable.first_entries(filings(spark), "doc_id", F.lit("one"))
-    earlier = spark.createDataFrame([("one", 0.9), ("gone", 0.5)], "stratum string, threshold double")
-    t = {r.stratum: r.threshold for r in stable.thresholds(entries, 0.1, 5, earlier).collect()}
-    assert t == {"one": 0.9, "gone": 0.5}
+    rows = filings(spark)
+    first = chosen(rows)
+    earlier = stable.thresholds(stable.sample(rows, "doc_id", F.coalesce("pdf_class", F.lit("none")), RATES, 0.2, "s"))
+    assert {r.stratum: r.threshold for r in earlier.collect()} == {"efiled": 0.1, "scanned": 0.3, "none": 0.2, "rare": 0.2}
+    lower, higher = chosen(rows, rates={}, default=0.01, earlier=earlier), chosen(rows, rates={"efiled": 0.5}, default=0.01, earlier=earlier)
+    assert lower == first and first.items() < higher.items()

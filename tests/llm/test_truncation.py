@@ -6,7 +6,7 @@ import pytest
 
 from tallyframe.llm import truncation as K
 
-H = {("s", "closer"): {"hkw": 9}, ("s", "item"): {"check the index": 5, "scan 9999": 4, "thank A": 3}, ("s", "shape"): {"A 99 of 99": 9, "cc: records desk": 4}}
+H = {("", "label"): {"schedule": 9}, ("s", "cents"): {"$": 9}, ("s", "closer"): {"hkw": 9}, ("s", "item"): {"check the index": 5, "scan 9999": 4, "thank A": 3}, ("s", "shape"): {"A 99 of 99": 9, "cc: records desk": 4}}
 
 
 @pytest.mark.parametrize(
@@ -88,6 +88,35 @@ def test_counts_do_not_depend_on_partitions():
     assert sums([[t] for t in texts]) == whole
 
 
+@pytest.mark.parametrize("parts", [1, 40, 400])
+def test_habits_do_not_depend_on_partitions(spark, small, parts):
+    docs = spark.read.parquet(f"{small}/documents.parquet").repartition(parts)
+    habits = K.line_habits(docs)
+    assert habits == HABITS.setdefault("first", habits) and ("clerk_fd_page", "closer") in habits
+
+
+HABITS: dict = {}
+
+
+def test_labels_and_cents_are_learned(spark):
+    """A letter after `Annexe` stands without a point or ends texts, one after a given name doesn't; sums have cents."""
+    texts = [f"See Annexe {x} and Annexe {x}. It was signed by Ann {x}. Stone for $1,{n:03d}.50 in all." for n in range(20) for x in "BCD"] + ["It is in Annexe B."] * 9
+    docs = spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)] + [(900, "s", "It was paid to Ann B."), (901, "s", "The sum was $35,167."), (902, "s", "It follows from Annexe E.")], "doc_id long, source string, text string")
+    habits = K.line_habits(docs)
+    assert set(habits["", "label"]) == {"annexe"} and ("s", "cents") in habits
+    assert sorted(r.doc_id for r in K.found(docs).collect()) == [900, 901]
+
+
+def test_long_tokens_and_long_last_lines(spark):
+    """A token of a million characters beside a closer; a closing line longer than a shape that is kept as it is."""
+    closing = "Prepared by the office of the clerk for the record of the proceedings of the committee in its session no 12"
+    assert len(closing) > K.LONGEST_SHAPE
+    rows = [(i, "s", "x" * (1_000_000 if i < 4 else 100) + f" is the sum.\n{closing}") for i in range(40)] + [(99, "s", "It is the sum.\n" + closing[:90])]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    assert [r.doc_id for r in K.found(docs).collect()] == [99]
+    assert K.last_segment("a" * 1000 + "; the end" + "b" * 600) == "the end" + "b" * 600 and K.last_words("a b c d e") == "b c d e"
+
+
 def test_long_items_that_break_off(spark):
     """Items of any length teach their shape; one that breaks off in the middle is cut."""
     long = "send the signed copy of the amended statement to the office of the clerk together with every receipt for the quarter"

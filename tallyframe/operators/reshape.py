@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe import types as kinds
 from tallyframe.functions import values
+from tallyframe.operators import nested
 from tallyframe.operators.predicates import HoldingFilter, TradeFilter
 
 
@@ -30,12 +31,14 @@ def current_filings(filings: DataFrame) -> DataFrame:
 def trades(filings: DataFrame, ptr: DataFrame, want: TradeFilter = TradeFilter()) -> DataFrame:
     """A row for each transaction of each report of transactions, with its filing.
 
-    Filters on the filing and on the transaction are applied before and right after the join."""
+    The transactions are filtered within their arrays, before these meet the filings: bodies without any drop out."""
     reports = filings.where((F.col("filing_type.code") == kinds.PTR_TYPE) & want.on_filing()).select("doc_id", "coverage_year", "filer_id", "filer", "bioguide_id", "state_district", "row_no")
-    bodies = latest(ptr, ["coverage_year", "doc_id"], "body_id")
-    rows = reports.join(bodies, ["coverage_year", "doc_id"])
-    flat = rows.select(*reports.columns, F.posexplode("transactions").alias("item", "transaction")).where(F.col("transaction").isNotNull())
-    return flat.where(want.on_trade(F.col("transaction")))
+    last = latest(ptr.select("coverage_year", "doc_id", "body_id"), ["coverage_year", "doc_id"], "body_id").select("body_id")
+    placed = F.transform("transactions", lambda t, i: F.struct(i.alias("item"), t.alias("transaction")))
+    kept = F.filter(placed, lambda x: x["transaction"].isNotNull() & want.on_trade(x["transaction"]))
+    some = ptr.select("coverage_year", "doc_id", "body_id", kept.alias("kept")).where(F.size("kept") > 0)
+    rows = reports.join(some.join(last, "body_id", "left_semi").drop("body_id"), ["coverage_year", "doc_id"])
+    return rows.select(*reports.columns, F.explode("kept").alias("x")).select(*reports.columns, "x.item", "x.transaction")
 
 
 def holdings(filings: DataFrame, holdings_of: DataFrame, want: HoldingFilter = HoldingFilter()) -> DataFrame:
@@ -44,6 +47,19 @@ def holdings(filings: DataFrame, holdings_of: DataFrame, want: HoldingFilter = H
     return reports.join(holdings_of, ["coverage_year", "doc_id"]).where(want.on_holding(F.col("holding")))
 
 
+def schedule_a(fd: DataFrame, want: HoldingFilter = HoldingFilter()) -> DataFrame:
+    """(coverage_year, doc_id, item, holding) of the Schedule A items wanted, of the last parse of each filing.
+
+    The bodies stay where they are read; of their items those that pass the filter meet the ids of the last parses."""
+    get = lambda n: F.try_element_at("fields", F.lit(n)).alias(n)
+    some = F.col("low").isNotNull() | F.col("high").isNotNull() | F.col("exact").isNotNull() | F.col("text").isNotNull()
+    value = F.when(some, F.struct("low", "high", "exact", F.col("text").alias("label"))).alias("value_of_asset")
+    items = nested.interval_nodes(fd, "body_id", "body", ("item", "fields"), ("A",), "value_of_asset")
+    items = items.select("body_id", F.col("item_no").alias("item"), F.struct(get("asset"), get("owner"), get("asset_type"), get("income_type"), value).alias("holding")).where(want.on_holding(F.col("holding")))
+    last = latest(fd.select("coverage_year", "doc_id", "body_id"), ["coverage_year", "doc_id"], "body_id")
+    return items.join(last, "body_id").select("coverage_year", "doc_id", "item", "holding")
+
+
 def detail(filings: DataFrame, ptr: DataFrame, fd: DataFrame, doc_id: str) -> DataFrame:
     """A filing with its body: the lowest year and the first entry of that document; a missing body is null."""
     one = filings.where(F.col("doc_id") == doc_id).orderBy("coverage_year", "row_no").limit(1)

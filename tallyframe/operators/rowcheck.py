@@ -94,48 +94,60 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "rule_feed string, column_no int, column_name string, kind string")
 
 
-def with_cells(lines: DataFrame, feed: str = "feed", text: str = "line_text") -> DataFrame:
-    """Adds `cells` (unquoted values) and `structure` (null, `quoting`, `column_count` or `unknown_feed`)."""
-    raw = F.coalesce(F.col(text), F.lit(""))
+def _cut(feed: Column, text: Column) -> Column:
+    """struct(cells, structure) of a line: unquoted values, and null, `quoting`, `column_count` or `unknown_feed`."""
+    raw = F.coalesce(text, F.lit(""))
     quoted_ok = raw.rlike(rf"\A{_FIELD}(?:,{_FIELD})*+\z")
     found = F.regexp_extract_all(F.concat(F.lit(","), raw), F.lit(f",({_FIELD})"), F.lit(1))
     plain = F.transform(found, lambda c: F.when(c.startswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
-    csv = F.col(feed) == "ie_csv"
-    cells = F.when(csv, F.when(quoted_ok, plain)).when(F.col(feed) == "fd_index", F.split(raw, "\t", -1))
+    csv = feed == "ie_csv"
+    cells = F.when(csv, F.when(quoted_ok, plain)).when(feed == "fd_index", F.split(raw, "\t", -1))
     wanted = F.when(csv, len(IE_COLUMNS)).otherwise(len(FD_COLUMNS))
-    structure = (
-        F.when(~F.coalesce(F.col(feed).isin(*FEED_COLUMNS), F.lit(False)), "unknown_feed")
-        .when(F.col("cells").isNull(), "quoting")
-        .when(F.size("cells") != wanted, "column_count")
-    )
-    return lines.withColumn("cells", cells).withColumn("structure", structure)
+
+    def judged(c: Column) -> Column:
+        known = F.coalesce(feed.isin(*FEED_COLUMNS), F.lit(False))
+        return F.struct(c.alias("cells"), F.when(~known, "unknown_feed").when(c.isNull(), "quoting").when(F.size(c) != wanted, "column_count").alias("structure"))
+
+    # Bound by the lambda, so that a line is cut once however often its cells are referred to.
+    return F.transform(F.array(cells), judged)[0]
+
+
+def with_cells(lines: DataFrame, feed: str = "feed", text: str = "line_text") -> DataFrame:
+    """Adds `cells` and `structure`, see `_cut`. The generator keeps filters on them from cutting the line again."""
+    cut = lines.select("*", F.explode(F.array(_cut(F.col(feed), F.col(text)))).alias("__cut"))
+    return cut.select(*(F.col(c) for c in lines.columns if c not in ("cells", "structure")), "__cut.cells", "__cut.structure")
 
 
 _LINE = ["line_no", "mark"]
 
 
-def cell_errors(lines: DataFrame) -> DataFrame:
-    """(line_no, mark, column_no, column_name, value) of each cell that breaks its format."""
-    cut = _marked(lines).where("structure IS NULL")
-    cells = cut.select(*_LINE, "feed", F.posexplode("cells").alias("column_no", "value"))
-    rules = F.broadcast(rule_table(lines.sparkSession))  # its size is that of RULES, whatever the data
-    joined = cells.join(rules, (cells["feed"] == rules["rule_feed"]) & (cells["column_no"] == rules["column_no"]))
-    return joined.where(~cell_ok(F.col("kind"), F.col("value"))).select(*_LINE, cells["column_no"], "column_name", "value")
+def _mark() -> Column:
+    return F.xxhash64("feed", "line_text", F.length("line_text")).alias("mark")
 
 
-def _marked(lines: DataFrame) -> DataFrame:
-    narrow = lines.select("line_no", "feed", "line_text")
-    return with_cells(narrow.withColumn("mark", F.xxhash64("feed", "line_text", F.length("line_text"))))
+def cell_errors(lines: DataFrame) -> DataFrame:
+    """(line_no, mark, structure, column_no, column_name, value): each cell that breaks its format, and each line of
+    broken structure as one row with the structure alone.
+
+    A line is read and cut once; its cells become rows, which meet the rules."""
+    whole = F.struct(F.lit(-1).alias("column_no"), F.lit(None).cast("string").alias("value"))
+    cells = F.transform("cut.cells", lambda v, i: F.struct(i.alias("column_no"), v.alias("value")))
+    cut = lines.select("line_no", _mark(), "feed", F.explode(F.array(_cut(F.col("feed"), F.col("line_text")))).alias("cut"))
+    parts = cut.select(*_LINE, "feed", F.col("cut.structure").alias("structure"), F.explode(F.when(F.col("cut.structure").isNull(), cells).otherwise(F.array(whole))).alias("part"))
+    parts = parts.select(*_LINE, "feed", "structure", "part.column_no", "part.value")
+    rules = F.broadcast(rule_table(lines.sparkSession))  # its size is that of RULES, whatever the data
+    joined = parts.join(rules, (parts["feed"] == rules["rule_feed"]) & (parts["column_no"] == rules["column_no"]), "left")
+    bad = F.col("structure").isNotNull() | (F.col("kind").isNotNull() & ~cell_ok(F.col("kind"), F.col("value")))
+    return joined.where(bad).select(*_LINE, "structure", parts["column_no"], "column_name", "value")
 
 
 def failures(lines: DataFrame) -> DataFrame:
     """(line_no, mark, reason, errors): each line that can't be loaded, with the first reason that holds.
 
-    errors: `column=value` of each bad cell in column order, null for broken structure."""
-    broken = _marked(lines).where("structure IS NOT NULL").select(*_LINE, F.col("structure").alias("reason"), F.lit(None).cast("array<string>").alias("errors")).distinct()
-    pair = F.struct("column_no", F.concat_ws("=", "column_name", F.substring("value", 1, 200)).alias("shown"))
-    bad = cell_errors(lines).groupBy(*_LINE).agg(F.transform(F.array_sort(F.collect_set(pair)), lambda x: x["shown"]).alias("errors"))
-    return broken.unionByName(bad.select(*_LINE, F.lit("bad_value").alias("reason"), "errors"))
+    errors: `column=value` of each bad cell in column order, whole values, null for broken structure."""
+    pair = F.when(F.col("structure").isNull(), F.struct("column_no", F.concat_ws("=", "column_name", "value").alias("shown")))
+    bad = cell_errors(lines).groupBy(*_LINE).agg(F.max("structure").alias("structure"), F.transform(F.array_sort(F.collect_set(pair)), lambda x: x["shown"]).alias("errors"))
+    return bad.select(*_LINE, F.coalesce("structure", F.lit("bad_value")).alias("reason"), F.when(F.col("structure").isNull(), F.col("errors")).alias("errors"))
 
 
 def rejected(lines: DataFrame) -> DataFrame:
@@ -145,8 +157,9 @@ def rejected(lines: DataFrame) -> DataFrame:
 
 def sound_rows(lines: DataFrame, feed: str) -> DataFrame:
     """The loadable lines of one feed as typed columns, beside line_no and file_name."""
-    cut = with_cells(lines.withColumn("mark", F.xxhash64("feed", "line_text", F.length("line_text"))).where(F.col("feed") == feed)).where("structure IS NULL")
-    bad = cell_errors(lines.where(F.col("feed") == feed)).select(*(F.col(c).alias(f"bad_{c}") for c in _LINE)).distinct()
+    own = lines.where(F.col("feed") == feed)
+    bad = cell_errors(own).select(*(F.col(c).alias(f"bad_{c}") for c in _LINE)).distinct()
+    cut = with_cells(own.select("line_no", "file_name", "feed", "line_text", _mark()))
     ok = cut.join(bad, (F.col("line_no").eqNullSafe(F.col("bad_line_no"))) & (F.col("mark") == F.col("bad_mark")), "left_anti")
     return ok.select("line_no", "file_name", *(typed(F.col("cells")[i], RULES[feed].get(c)).alias(c) for i, c in enumerate(FEED_COLUMNS[feed])))
 

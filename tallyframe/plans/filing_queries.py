@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import values
 from tallyframe.functions.text import name_key
-from tallyframe.operators import directory, identity, lines, nested, quality, residuals, reshape, review
+from tallyframe.operators import directory, identity, lines, quality, residuals, reshape, review
 from tallyframe.operators.predicates import FilingFilter, HoldingFilter, TradeFilter
 from tallyframe.plans import answers
 from tallyframe.session import table
@@ -66,22 +66,9 @@ def bucket_low(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "coverage_year", "item", again["low"].alias("low"), again["high"].alias("high"), again["exact"].alias("exact"), F.when(again["exact"].isNull(), reshape.sparse_json(t["amount_range"])).alias("stored"))
 
 
-def _holdings(spark: SparkSession, d: str) -> DataFrame:
-    """(coverage_year, doc_id, item, holding) of Schedule A of the last parse of each filing."""
-    fd = table(spark, d, "fd")
-    last = reshape.latest(fd.select("coverage_year", "doc_id", "body_id"), ["coverage_year", "doc_id"], "body_id")  # the bodies themselves aren't shuffled
-    nodes = nested.link_items(nested.interval_nodes(fd, "body_id", "body", ("schedule", "item", "fields", "amount"))).where("schedule = 'A'")
-    value = F.when((F.col("kind") == "amount") & (F.col("label") == "value_of_asset"), F.struct("low", "high", "exact", F.col("text").alias("label")))
-    # An item and its amounts have one place; the bodies are read once.
-    items = nodes.groupBy("doc", "body_id", "item_no").agg(F.first(F.when(F.col("kind") == "item", F.struct("fields")), ignorenulls=True).alias("i"), F.first(value, ignorenulls=True).alias("value"))
-    get = lambda n: F.try_element_at(F.col("i.fields"), F.lit(n)).alias(n)
-    joined = items.join(last, "body_id")
-    return joined.select("coverage_year", "doc_id", F.col("item_no").alias("item"), F.struct(get("asset"), get("owner"), get("asset_type"), get("income_type"), F.col("value").alias("value_of_asset")).alias("holding"))
-
-
 def holdings(spark: SparkSession, d: str) -> DataFrame:
     want = HoldingFilter(asset="bond", owner="jt")
-    rows = answers.holdings(reshape.current_filings(table(spark, d, "filings")), _holdings(spark, d), want).rows
+    rows = answers.holdings(reshape.current_filings(table(spark, d, "filings")), reshape.schedule_a(table(spark, d, "fd"), want), want).rows
     return rows.select("doc_id", "coverage_year", "item", "filer_id", F.col("holding.asset").alias("asset"), F.col("holding.asset_type").alias("asset_type"))
 
 

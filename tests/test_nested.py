@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,45 @@ def test_long_and_deep_bodies(spark):
     got = keys(spark, [(1, wide), (2, deep), (3, '{"schedules": {"A": [{"asset": "z"}]}}')])
     assert sum(k[0] == 1 for k in got) == 5000 and (3, "A", 1) in got
     assert F is not None
+
+
+def test_bodies_that_break_parsers(spark):
+    """NaN isn't JSON; huge, fractional and odd numbers keep their text; depth and wrapping have no bound."""
+    deep = "[" * 5000 + "1" + "]" * 5000
+    wrapped = '{"A":[{"asset":"x"}]}'
+    for _ in range(7):
+        wrapped = json.dumps(wrapped)
+    rows = [
+        (1, '{"A":[{"asset":"x","value_of_asset":NaN}]}'), (2, '{"A":[{"asset":"x","value_of_asset":{"low":1e30,"high":2}}]}'), (3, '{"A":[{"asset":"x","income_amount":' + "9" * 5000 + "}]}"),
+        (4, '{"A":[{"asset":"x","value_of_asset":{"low":"$1,000.75","high":"$2,000.00","label":"odd"}}]}'), (5, f'{{"A":[{{"asset":{deep}}},{{"asset":"y"}}]}}'), (6, wrapped), (7, '{"pages":' * 3000 + '{"A":[{}]}' + "}" * 3000),
+        (8, '{"A":[{}]} x'), (9, "[" * 5000), (10, '{"A":[{"amount":Infinity}]}'), (11, '{"A":[{"amount":1e999}]}'), (12, "[" * 4000 + "1,]" + "]" * 3999),
+    ]
+    fd = spark.createDataFrame([(i, b, "clash") for i, b in rows], "body_id long, body string, doc string")
+    none = spark.createDataFrame([], PTR)
+    keys = sorted((r.body_id, r.schedule, r.item_no) for r in nested.line_item_keys(fd, none).collect())
+    assert keys == [(2, "A", 1), (3, "A", 1), (4, "A", 1), (5, "A", 1), (5, "A", 2), (6, "A", 1), (7, "A", 1), (11, "A", 1)]
+    amounts = {r.body_id: (r.low, r.high, r.exact, r.text) for r in nested.line_amounts(fd, none).collect()}
+    assert amounts == {2: (None, 2, None, '{"low": 1e+30, "high": 2}'), 3: (None, None, None, "inf"), 4: (None, 2000, None, "odd"), 11: (None, None, None, "inf")}
+
+
+def test_the_parser_for_deep_bodies():
+    for text in ('{"a":[1,{"b":[]},{}],"a":"x\\"y","c":-1.5e3,"d":null}', "[]", "{}", ' [true , false] ', '"s"', "3"):
+        assert nested._deep(text) == json.loads(text, object_pairs_hook=tuple)
+    for text in ("", "[1", "{1:2}", '{"a"}', "[1,]", "[1 2]", '{"a":1,}', "]", "[}", '{"a":}', "nul", "[1] 2", "01x"):
+        with pytest.raises(ValueError):
+            nested._deep(text)
+
+
+def test_containment_of_random_trees():
+    """The sweep finds what the intervals say."""
+    r = random.Random(7)
+    for _ in range(50):
+        tree = {"schedules": {k: [{"asset": "x", "amount": {"low": 1, "high": 2}} for _ in range(r.randrange(4))] + ([None] if r.random() < 0.5 else []) for k in "ABC"}, "pages": [{"A": [{"amount": "$5"}]}]}
+        t = nested.Traversal({"schedule", "item", "amount"})
+        t.body(1, 1, nested._load(json.dumps(tree)))
+        for n in nested.contained(t.rows, {"item", "amount"}):
+            holders = [x for x in t.rows if x[3] < n[3] and x[4] > n[4]]
+            assert [x[5] for x in holders if x[2] == "schedule"] == [n[11]]
+            inside = sorted(x[3] for x in t.rows if x[2] == "item" and any(s[2] == "schedule" and s[5] == n[11] and s[3] < x[3] and s[4] > x[4] for s in t.rows))
+            own = n[3] if n[2] == "item" else next(x[3] for x in holders if x[2] == "item")
+            assert n[12] == inside.index(own) + 1

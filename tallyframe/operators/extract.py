@@ -1,18 +1,25 @@
-"""Report pages to records: lines are classified and grouped by windows, rows split into columns in Arrow batches.
+"""Report pages to records: each document's lines are classified, grouped into rows and split into columns.
 
-Input is lines of text per document (doc_id, line_no, line); decoding PDF files is a source's business. Each document
-is complete in itself: windows are within a document, and one pass per row follows."""
+A document is complete in itself and is one row of (doc_id, text), so it is read as a whole inside the Arrow batch that it
+comes in: no shuffle, no window over lines. Decoding PDF files is a source's business; lines that come as rows of their own
+are put together first (`documents`, one shuffle by document).
+
+Defined cases
+* A null text is no document; an empty one has no rows.
+* Lines are compared without surrounding spaces and with tabs as spaces.
+* doc_id keeps its type; documents under one doc_id are read one by one.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import asdict
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tallyframe import types as kinds
 from tallyframe.operators import columns as C
@@ -21,17 +28,6 @@ from tallyframe.operators import lines as L
 _DOC = "doc_id"
 
 
-def _like(pattern: str, c: Column | None = None) -> Column:
-    return F.coalesce((F.col("line") if c is None else c).rlike(f"(?i){pattern}"), F.lit(False))
-
-
-def _trimmed(lines: DataFrame) -> DataFrame:
-    return lines.select(_DOC, "line_no", F.trim(F.regexp_replace("line", r"[\t ]", " ")).alias("line"))
-
-
-_PTR_OUT = T.StructType([T.StructField(_DOC, T.LongType()), T.StructField("item", T.IntegerType()), T.StructField("wanted", T.LongType()), T.StructField("transaction", kinds.TRANSACTION)])
-
-
 def _arrow(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.StructType):
         return pa.struct([(f.name, _arrow(f.dataType)) for f in kind])
@@ -44,166 +40,243 @@ def _plain(values: dict) -> dict:
     return {k: asdict(v) if isinstance(v, C.Amount) else v for k, v in values.items()}
 
 
-def transactions(lines: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, item, transaction), (doc_id, reason) of documents that failed as a whole).
-
-    The number of rows must be that of the status lines; otherwise nothing of the document is given out."""
-    p = C.ptr_headers(layout)
-    lit = lambda name: p[name].replace("(?i)", "")
-    kept = L.before_first(_trimmed(lines), _like(layout.footnote))
-    marked = kept.withColumn("boxless", L.has_lost_glyphs(_DOC))
-    case = lambda name: F.coalesce(F.col("line").rlike(lit(name)), F.lit(False))
-    header = case("range") | case("exact") | (F.col("boxless") & (case("range_boxless") | case("exact_boxless")))
-    wanted = F.count_if(_like(layout.status)).over(Window.partitionBy(_DOC))
-    rows = L.islands(marked, header, [_DOC]).withColumn("wanted", wanted)
+def documents(lines: DataFrame) -> DataFrame:
+    """(doc_id, text) of (doc_id, line_no, line): a document's lines are one group, as its text is one value."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    grouped = rows.where("island > 0").groupBy(_DOC, "island").agg(ordered.alias("lines"), F.first("boxless").alias("boxless"), F.first("wanted").alias("wanted"))
-    out_type = _arrow(kinds.TRANSACTION)
+    return lines.groupBy(_DOC).agg(F.concat_ws("\n", ordered).alias("text"))
+
+
+def text_lines(text: str) -> list[str]:
+    return [ln.replace("\t", " ").strip(" ") for ln in re.split(r"\r\n|[\n\r]", text)]
+
+
+# ---------------------------------------------------------------- schedules of annual reports
+
+
+class ReportReader:
+    """The schedules of one annual report from its lines."""
+
+    def __init__(self, layout: C.Layout, latest: int = C.LATEST_YEAR):
+        self.layout, self.latest = layout, latest
+        find = lambda pattern: re.compile(pattern, re.I)
+        box, low = layout.box, r"\$[\d,]+\s*-"
+        self.heading, self.none_line, self.trailer = find(layout.heading), find(layout.none_line), find(layout.trailer)
+        self.detail, self.comment = find(f"{layout.location}|{layout.description}"), find(layout.comment)
+        self.low, self.tag, self.boxed = re.compile(low), re.compile(r"\[[A-Za-z0-9]+\]"), re.compile(rf"\S.*\b{box}\s*$")
+        # A holding's columns begin behind its tag or behind the arrow of a sub-holding.
+        self.valued = re.compile(rf"\[[A-Za-z0-9]+\]\s*(?:(?:SP|DC|JT)\b\s*)?(?:\$|None\b|Undetermined\b|Over\b)|⇒.*{low}")
+        self.only_tag, self.ends_boxed = re.compile(r"[^$]*\[[A-Za-z0-9]{2}\][^$]*$"), re.compile(rf"\b{box}\s*$")
+        self.trade = find(r"\d{1,2}/\d{1,2}/\d{4}\s+(?:S \(partial\)|[PSE])\b")
+        self.incurred, self.year, self.opens = re.compile(C.DATE_INCURRED), re.compile(C.BARE_YEAR), re.compile(C.RANGE_START)
+        self.agreed, self.trip, self.dollar = find(rf"\s*{C.LEADING_DATE}(?![.,])"), find(C.TRIP_DATES), re.compile(C.DOLLAR)
+
+    def segments(self, lines: list[str]) -> tuple[dict[str, list[str]], bool]:
+        """(content lines of each schedule, whether there was any heading).
+
+        A heading opens a schedule, and one that comes again goes on with it. The trailer ends it, and so does any line
+        after `none disclosed` where no row came before. Column headers and the marker itself are left out."""
+        found: dict[str, list[str]] = {}
+        letter, none, rows, headed = None, False, 0, False
+        for line in lines:
+            if not line:
+                continue
+            if m := self.heading.search(line):
+                letter, none, rows, headed = m[1].upper(), False, 0, True
+            elif letter is None:
+                continue
+            elif self.trailer.search(line) or (none and not rows):
+                letter = None
+            elif self.none_line.search(line):
+                none = True
+            elif not self.layout.is_furniture(line):
+                rows += 1
+                found.setdefault(letter, []).append(line)
+        return found, headed
+
+    def starts(self, letter: str, line: str, following: str) -> bool:
+        """Whether a line begins an item of its schedule; one line of look-ahead where a holding's tag wrapped."""
+        if letter == "A":
+            if self.detail.search(line):
+                return False
+            if self.boxed.search(line) or self.valued.search(line):
+                return True
+            if not self.low.search(line) or line.startswith("$"):
+                return False
+            return not self.tag.search(line) or (self.only_tag.match(following) is not None and not self.ends_boxed.search(following))
+        if letter == "B":
+            return self.trade.search(line) is not None
+        if letter == "D":
+            return self.incurred.search(line) is not None or (self.year.search(line) is not None and self.opens.search(line) is not None)
+        if letter == "E":
+            return not self.comment.search(line)
+        if letter in "FHI":
+            return {"F": self.agreed.match, "H": self.trip.search, "I": self.dollar.search}[letter](line) is not None
+        return True
+
+    def rows(self, letter: str, lines: list[str]) -> tuple[list[str], bool]:
+        """(the text of each item, whether no line began one and each is kept as an item of text alone).
+
+        Lines before the first start are one leading item: no line is lost."""
+        begins = [self.starts(letter, line, after) for line, after in zip(lines, [*lines[1:], ""])]
+        if not any(begins):
+            return list(lines), True
+        cuts = sorted({0, *(i for i, b in enumerate(begins) if b)})
+        return [" ".join(lines[lo:hi]) for lo, hi in zip(cuts, [*cuts[1:], len(lines)])], False
+
+    def items(self, letter: str, lines: list[str]) -> Iterator[dict]:
+        """The columns of each item of a schedule, with its text."""
+        rows, salvaged = self.rows(letter, lines)
+        for raw in rows:
+            text = C.scrub(raw)
+            first = C.FIRST_COLUMN.get(letter)
+            fields = ({first: text} if first else {}) if salvaged else _plain(C.PARSERS[letter](raw, self.layout, self.latest))
+            yield {**fields, "raw_text": text}
+
+    def problem(self, letter: str, lines: list[str], items: list[dict]) -> str | None:
+        """`extract_failed` if far fewer items came out than the tags let expect, `schedule_incomplete` if rows ran together."""
+        if letter not in ("A", "B"):
+            return None
+        if L.has_collapsed(len(items), sum(len(C.tags(ln)) for ln in lines)):
+            return "extract_failed"
+        return "schedule_incomplete" if any(C.real_codes(x["raw_text"] or "") >= 2 for x in items) else None
+
+
+def _read(docs: DataFrame, fields: list[T.StructField], each) -> DataFrame:
+    """One pass over (doc_id, text): each(text) gives rows of the fields."""
+    key = docs.schema[_DOC]
+    arrow = [_arrow(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, items, want, found = [], [], [], []
-            for doc, island, text, boxless, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                if row := C.ptr_row(text, layout, boxless, latest):
-                    docs.append(doc)
-                    items.append(island - 1)
-                    want.append(wanted)
-                    found.append(_plain(row))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int32()), pa.array(want, pa.int64()), pa.array(found, out_type)], names=_PTR_OUT.names)
-
-    read = grouped.select(F.col(_DOC).cast("long"), "island", "lines", "boxless", "wanted").mapInArrow(run, _PTR_OUT)
-    have = F.count("*").over(Window.partitionBy(_DOC))
-    good = read.withColumn("have", have).where("have = wanted").select(_DOC, "item", "transaction")
-    counted = read.groupBy(_DOC).agg(F.count("*").alias("have"))
-    status = rows.groupBy(F.col(_DOC).cast("long").alias(_DOC)).agg(F.first("wanted").alias("wanted"))
-    failed = status.join(counted, _DOC, "left").where("wanted <> coalesce(have, 0)").select(_DOC, F.lit("extract_failed").alias("reason"))
-    return good, failed
-
-
-def schedule_lines(lines: DataFrame, layout: C.Layout = C.Layout()) -> DataFrame:
-    """(doc_id, line_no, line, schedule, piece): content lines of each schedule.
-
-    A heading opens a schedule; the trailer, or any line after `none disclosed` where no row came before, ends it.
-    Furniture and the marker itself are left out, so an empty schedule has no lines at all."""
-    letter = F.upper(F.nullif(F.regexp_extract("line", f"(?i){layout.heading}", 1), F.lit("")))
-    cut = L.segments(_trimmed(lines).where("line <> ''"), letter)
-    piece = F.sum(F.when(F.col("heading").isNotNull(), 1).otherwise(0)).over(L.so_far(_DOC))
-    cut = cut.withColumn("piece", piece).where("segment IS NOT NULL AND heading IS NULL")
-    none, furniture = _like(layout.none_line), _like(layout.furniture)
-    w = Window.partitionBy(_DOC, "piece").orderBy("line_no")
-    so_far = w.rowsBetween(Window.unboundedPreceding, -1)
-    seen_none = F.coalesce(F.max(F.when(none, 1).otherwise(0)).over(so_far), F.lit(0)) == 1
-    seen_row = F.coalesce(F.max(F.when(none | furniture, 0).otherwise(1)).over(so_far), F.lit(0)) == 1
-    stops = _like(layout.trailer) | (seen_none & ~seen_row)
-    stopped = F.max(F.when(stops, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return cut.withColumn("stopped", stopped).where((F.col("stopped") == 0) & ~none & ~furniture).select(_DOC, "line_no", "line", F.col("segment").alias("schedule"), "piece")
-
-
-def _starts(layout: C.Layout) -> Column:
-    """Whether a line begins an item of its schedule; one line of look-ahead where a type tag wrapped."""
-    line = F.col("line")
-    following = F.coalesce(F.lead("line").over(Window.partitionBy(_DOC, "schedule").orderBy("line_no")), F.lit(""))
-    low, box = r"\$[\d,]+\s*-", layout.box
-    lone_tag = following.rlike(r"^[^$]{0,60}\[[A-Za-z0-9]{2}\][^$]*$") & ~following.rlike(rf"\b{box}\s*$")
-    tagged = line.rlike(rf"\[[A-Za-z0-9]+\]\s*(?:(?:SP|DC|JT)\b\s*)?(?:\$|None\b|Undetermined\b|Over\b)")
-    boxed = line.rlike(rf"\S.*\b{box}\s*$")
-    arrow = line.rlike(rf"⇒.*{low}")
-    bare = line.rlike(low) & ~line.rlike(r"\[[A-Za-z0-9]+\]") & ~line.rlike(r"^\$")
-    detail = _like(f"{layout.location}|{layout.description}")
-    a = (boxed | tagged | arrow | bare | (line.rlike(low) & lone_tag & ~line.rlike(r"^\$"))) & ~detail
-    b = line.rlike(r"(?i)\d{1,2}/\d{1,2}/\d{4}\s+(?:S \(partial\)|[PSE])\b")
-    d = line.rlike(C.DATE_INCURRED) | (line.rlike(C.BARE_YEAR) & line.rlike(C.RANGE_START))
-    f = line.rlike(f"(?i){C.LEADING_DATE}") & ~line.rlike(rf"(?i){C.LEADING_DATE}[.,]")
-    return (
-        F.when(F.col("schedule") == "A", a)
-        .when(F.col("schedule") == "B", b)
-        .when(F.col("schedule") == "D", d)
-        .when(F.col("schedule") == "E", ~_like(layout.comment))
-        .when(F.col("schedule") == "F", f)
-        .when(F.col("schedule") == "H", line.rlike(f"(?i){C.TRIP_DATES}"))
-        .when(F.col("schedule") == "I", line.rlike(C.DOLLAR))
-        .otherwise(F.lit(True))
-    )
+            where, rows = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if text is not None:
+                    for row in each(text):
+                        where.append(i)
+                        rows.append(row)
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(where, pa.int32())), *(pa.array(c, t) for c, t in zip(zip(*rows), arrow))], names=[_DOC, *(f.name for f in fields)])
 
+    return docs.select(_DOC, "text").mapInArrow(run, T.StructType([T.StructField(_DOC, key.dataType), *fields]))
 
-_ITEM = T.StructType(
-    [
-        T.StructField(_DOC, T.LongType()),
-        T.StructField("schedule", T.StringType()),
-        T.StructField("item_no", T.IntegerType()),
-        *(T.StructField(letter, T.StructType([f for f in schema])) for letter, schema in kinds.SCHEDULES.items()),
-        T.StructField("raw_text", T.StringType()),
-    ]
-)
 
+def transaction_rows(docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR) -> DataFrame:
+    """(doc_id, item, transaction, reason): each row of each report of transactions; of a report that fails as a whole one
+    row with the reason alone.
 
-def schedule_items(lines: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR) -> DataFrame:
-    """(doc_id, schedule, item_no, A .. J, raw_text): each item, its columns in the struct of its letter.
+    The number of rows must be that of the status lines; otherwise nothing of the document is given out."""
+    fields = [T.StructField("item", T.IntegerType()), T.StructField("transaction", kinds.TRANSACTION), T.StructField("reason", T.StringType())]
+    reader = C.PtrReader(layout, latest)
 
-    Where no line of a schedule begins an item, each line is kept as an item of text alone."""
-    rows = L.islands(schedule_lines(lines, layout), _starts(layout), [_DOC, "schedule"])
-    whole = Window.partitionBy(_DOC, "schedule")
-    salvaged = F.max("island").over(whole) == 0
-    numbered = rows.withColumn("salvaged", salvaged).withColumn("place", F.row_number().over(whole.orderBy("line_no")))
-    numbered = numbered.withColumn("island", F.when(F.col("salvaged"), F.col("place")).otherwise(F.col("island")))
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    items = numbered.groupBy(_DOC, "schedule", "island").agg(F.concat_ws(" ", ordered).alias("raw"), F.first("salvaged").alias("salvaged"))
-    order = Window.partitionBy(_DOC, "schedule").orderBy("island")
-    items = items.select(F.col(_DOC).cast("long"), "schedule", F.row_number().over(order).alias("item_no"), "raw", "salvaged")
-    arrow = [_arrow(f.dataType) for f in _ITEM]
+    def each(text: str) -> Iterator[tuple]:
+        rows, wanted = reader.read(text_lines(text))
+        good = [(i, r) for i, r in enumerate(rows) if r is not None]
+        if len(good) != wanted:
+            yield None, None, "extract_failed"
+        else:
+            for i, r in good:
+                yield i, _plain(r), None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {f.name: [] for f in _ITEM}
-            for doc, letter, no, raw, salvage in zip(*(c.to_pylist() for c in batch.columns)):
-                text = C.scrub(raw)
-                if salvage:
-                    fields = {C.FIRST_COLUMN[letter]: text} if letter in C.FIRST_COLUMN else {}
-                else:
-                    fields = _plain(C.PARSERS[letter](raw, layout, latest))
-                for name in out:
-                    out[name].append({**fields, "raw_text": text} if name == letter else None)
-                out[_DOC][-1], out["schedule"][-1], out["item_no"][-1], out["raw_text"][-1] = doc, letter, no, text
-            if out[_DOC]:
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), arrow)], names=list(out))
-
-    return items.mapInArrow(run, _ITEM)
-
-
-def incomplete(lines: DataFrame, items: DataFrame, layout: C.Layout = C.Layout()) -> DataFrame:
+    return _read(docs, fields, each)
+
+
+def transactions(docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, item, transaction), (doc_id, reason) of documents that failed as a whole)."""
+    rows = transaction_rows(docs, layout, latest)
+    return rows.where("reason IS NULL").select(_DOC, "item", "transaction"), rows.where("reason IS NOT NULL").select(_DOC, "reason")
+
+
+def schedule_rows(docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR, letters: str = "ABCDEFGHIJ") -> DataFrame:
+    """(doc_id, schedule, item_no, A .. J, raw_text, reason): each item, its columns in the struct of its letter; and each
+    schedule that is incomplete as a row with the reason alone. Only the letters wanted are split into columns."""
+    fields = [
+        T.StructField("schedule", T.StringType()), T.StructField("item_no", T.IntegerType()), *(T.StructField(letter, schema) for letter, schema in kinds.SCHEDULES.items()),
+        T.StructField("raw_text", T.StringType()), T.StructField("reason", T.StringType()),
+    ]
+    reader, names = ReportReader(layout, latest), list(kinds.SCHEDULES)
+
+    def each(text: str) -> Iterator[tuple]:
+        for letter, lines in sorted(reader.segments(text_lines(text))[0].items()):
+            if letter not in letters:
+                continue
+            items = list(reader.items(letter, lines))
+            for no, x in enumerate(items, 1):
+                yield letter, no, *(x if n == letter else None for n in names), x["raw_text"], None
+            if reason := reader.problem(letter, lines, items):
+                yield letter, None, *(None for _ in names), None, reason
+
+    return _read(docs, fields, each)
+
+
+def schedule_items(docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR, letters: str = "ABCDEFGHIJ") -> DataFrame:
+    """(doc_id, schedule, item_no, A .. J, raw_text): each item."""
+    return schedule_rows(docs, layout, latest, letters).where("reason IS NULL").drop("reason")
+
+
+def incomplete(docs: DataFrame, layout: C.Layout = C.Layout()) -> DataFrame:
     """(doc_id, schedule, reason): schedules with fewer items than their type tags let expect, or rows that ran together."""
-    tags = F.size(F.filter(F.regexp_extract_all("line", F.lit(r"\[([A-Za-z0-9]+)\]"), F.lit(1)), lambda t: t.rlike(r"^(?:[A-Za-z]{2}|5[A-Za-z0-9]?)$")))
-    seen = schedule_lines(lines, layout).where("schedule IN ('A', 'B')").groupBy(F.col(_DOC).cast("long").alias(_DOC), "schedule").agg(F.sum(tags).alias("tags"))
-    codes = F.size(F.filter(F.regexp_extract_all("raw_text", F.lit(r"\[([A-Za-z0-9]+)\]"), F.lit(1)), lambda t: t.rlike(r"^(?:[A-Za-z]{2}|5[A-Za-z0-9]?)$")))
-    have = items.where("schedule IN ('A', 'B')").groupBy(_DOC, "schedule").agg(F.count("*").alias("n"), F.bool_or(codes >= 2).alias("merged"))
-    joined = seen.join(have, [_DOC, "schedule"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    bad = F.coalesce("merged", F.lit(False)) | L.collapsed(F.col("n"), F.col("tags"))
-    return joined.where(bad).select(_DOC, "schedule", F.lit("schedule_incomplete").alias("reason"))
-
-
-def outcomes(filings: DataFrame, lines: DataFrame, failed_ptr: DataFrame, items: DataFrame, partial: DataFrame) -> DataFrame:
-    """Adds pdf_class, parse_status and reason to filings (doc_id, filing_type, families in scope by `in_scope`).
-
-    `missing` and `scanned` filings have no body; a report of transactions fails as a whole; an annual report without any
-    heading fails, other kinds may have no schedules."""
-    doc = F.col(_DOC).cast("long")
-    text = lines.groupBy(doc.alias("d")).agg(F.sum(F.length(F.regexp_replace("line", r"(?U)\s", ""))).alias("chars"))
-    bodies = items.select(F.col(_DOC).alias("d")).distinct().withColumn("has_items", F.lit(True))
-    failed = failed_ptr.select(F.col(_DOC).alias("d"), F.lit(True).alias("failed"))
-    some = partial.select(F.col(_DOC).alias("d")).distinct().withColumn("partial", F.lit(True))
-    f = filings.withColumn("d", doc)
-    for other in (text, bodies, failed, some):
-        f = f.join(other, "d", "left")
-    klass = F.when(F.col("chars").isNull(), "missing").when(F.col("chars") < L.EFILED_CHARS, "scanned").otherwise("efiled")
+    return schedule_rows(docs, layout, letters="AB").where("reason IS NOT NULL").select(_DOC, "schedule", "reason")
+
+
+# ---------------------------------------------------------------- the parse of a year
+
+
+def readings(docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR) -> DataFrame:
+    """(doc_id, pdf_class, ptr_failed, ptr_odd_date, headed, fd_failed, fd_odd_date, fd_incomplete): what each document is
+    as a report of transactions and as an annual report. A row for each document, whatever its length."""
+    flags = ("ptr_failed", "ptr_odd_date", "headed", "fd_failed", "fd_odd_date", "fd_incomplete")
+    fields = [T.StructField("pdf_class", T.StringType()), *(T.StructField(f, T.BooleanType()) for f in flags)]
+    ptr, fd = C.PtrReader(layout, latest), ReportReader(layout, latest)
+
+    def each(text: str) -> Iterator[tuple]:
+        if L.count_visible(text) < L.EFILED_CHARS:
+            yield ("scanned", *(False for _ in flags))
+            return
+        lines = text_lines(text)
+        rows, wanted = ptr.read(lines)
+        good = [r for r in rows if r is not None]
+        found, headed = fd.segments(lines)
+        read = {letter: list(fd.items(letter, found[letter])) for letter in "AB" if letter in found}
+        problems = {fd.problem(letter, found[letter], items) for letter, items in read.items()}
+        odd_ptr = any(r["date_raw"] or r["notification_date_raw"] for r in good)
+        odd_fd = any(x.get("transaction_date_raw") for x in read.get("B", ()))
+        yield "efiled", len(good) != wanted, odd_ptr, headed, "extract_failed" in problems, odd_fd, "schedule_incomplete" in problems
+
+    return _read(docs, fields, each)
+
+
+def outcomes(filings: DataFrame, docs: DataFrame, layout: C.Layout = C.Layout(), latest: int = C.LATEST_YEAR, families: set[str] | None = None) -> DataFrame:
+    """Adds pdf_class, parse_status and reasons (an array, in order) to filings (doc_id, filing_type). docs: doc_id, text,
+    one row for each document.
+
+    `missing` and `scanned` filings have no body and are ok. A report of transactions fails as a whole; an annual report
+    without any heading fails, other kinds may have none; a filing that failed has no class. Odd dates and rows that ran
+    together leave the filing ok with a reason. Filings out of scope aren't looked into. The filings meet one narrow row of
+    each document; the texts stay where they are read."""
+    seen = readings(docs, layout, latest)
+    seen = seen.select(F.col(_DOC).cast("string").alias("__doc"), *(F.col(c).alias(f"__{c}") for c in seen.columns[1:]))
+    f = filings.drop("pdf_class", "parse_status", "reasons").join(seen, F.col(_DOC).cast("string") == F.col("__doc"), "left")
     code = F.coalesce(F.col("filing_type.code"), F.lit(""))
-    empty = code.isin(*kinds.ANNUAL_TYPES) & F.col("has_items").isNull()
-    reason = (
-        F.when(klass != "efiled", klass)
-        .when(~code.isin(*kinds.FILING_TYPES), "unknown_type")
-        .when((code == kinds.PTR_TYPE) & F.col("failed"), "extract_failed")
-        .when(empty, "extract_failed")
-        .when(F.col("partial"), "schedule_incomplete")
+    ptr = code == kinds.PTR_TYPE
+    scope = F.lit(True) if not families else F.when(ptr, "ptr").otherwise("fd").isin(*sorted(families))
+    klass = F.coalesce(F.col("__pdf_class"), F.lit("missing"))
+    efiled = klass == "efiled"
+    headless = code.isin(*kinds.ANNUAL_TYPES) & ~F.col("__headed")
+    failed = F.coalesce(scope & efiled & F.when(ptr, F.col("__ptr_failed")).otherwise(F.col("__fd_failed") | headless), F.lit(False))
+    whole = scope & efiled & ~failed
+    reasons = F.array_compact(
+        F.array(
+            F.when(scope & ~efiled, klass),
+            F.when(failed, "extract_failed"),
+            F.when(scope & ~code.isin(*kinds.FILING_TYPES), "unknown_type"),
+            F.when(whole & F.when(ptr, F.col("__ptr_odd_date")).otherwise(F.col("__fd_odd_date")), "date_out_of_range"),
+            F.when(whole & ~ptr & F.col("__fd_incomplete"), "schedule_incomplete"),
+        )
     )
-    status = F.when(reason == "extract_failed", "error").otherwise("ok")
-    return f.withColumn("pdf_class", klass).withColumn("reason", reason).withColumn("parse_status", status).drop("d", "chars", "has_items", "failed", "partial")
+    out = f.withColumn("pdf_class", F.when(scope & ~failed, klass)).withColumn("parse_status", F.when(failed, "error").otherwise("ok")).withColumn("reasons", reasons)
+    return out.drop(*(c for c in out.columns if c.startswith("__")))
+
+
+def unparsed(outcome: DataFrame) -> DataFrame:
+    """(doc_id, reason): an entry for each reason of each filing."""
+    return outcome.select(_DOC, F.explode("reasons").alias("reason"))

@@ -1,4 +1,4 @@
-"""Ordered text lines: segments, islands, look-ahead and guards, as windows within a document."""
+"""Text lines: splitting, headings filled forward (a window within a document), classes and guards."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyframe.functions.text import collapse_space
 from tallyframe.functions.values import visible_chars
 
 EFILED_CHARS = 20
@@ -30,53 +29,17 @@ def segments(lines: DataFrame, heading: Column, key: str = "doc_id") -> DataFram
     return lines.withColumn("heading", heading).withColumn("segment", F.last("heading", ignorenulls=True).over(so_far(key)))
 
 
-def ended(lines: DataFrame, ends: Column, key: str = "doc_id") -> DataFrame:
-    """Keeps each segment's lines before the first one that ends it; a new heading begins anew."""
-    piece = F.sum(F.when(F.col("heading").isNotNull(), 1).otherwise(0)).over(so_far(key))
-    numbered = lines.withColumn("piece", piece)
-    stop = F.max(F.when(ends, 1).otherwise(0)).over(Window.partitionBy(key, "piece").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return numbered.withColumn("stopped", stop).where("stopped = 0").drop("stopped")
-
-
-def next_line(key: str = "doc_id") -> Column:
-    return F.lead("line").over(in_order(key))
-
-
-def islands(lines: DataFrame, starts: Column, keys: list[str]) -> DataFrame:
-    """Adds `island`: 0 before the first start line, then counting starts."""
-    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return lines.withColumn("starts", F.coalesce(starts, F.lit(False))).withColumn("island", F.sum(F.col("starts").cast("int")).over(w))
-
-
-def island_text(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, island, raw_text): the lines of each island joined by spaces."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    return lines.groupBy(*keys, "island").agg(collapse_space(F.concat_ws(" ", ordered)).alias("raw_text"), F.min("line_no").alias("first_line"))
-
-
-def before_first(lines: DataFrame, mark: Column, key: str = "doc_id") -> DataFrame:
-    """The lines before the first marked one of each document; all of them where none is marked."""
-    first = F.min(F.when(mark, F.col("line_no"))).over(Window.partitionBy(key))
-    return lines.withColumn("cut", first).where(F.col("cut").isNull() | (F.col("line_no") < F.col("cut"))).drop("cut")
-
-
-def first_after(lines: DataFrame, wanted: Column, keys: list[str]) -> Column:
-    """The first wanted value after a line within its group."""
-    w = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    return F.first(wanted, ignorenulls=True).over(w)
-
-
-def has_lost_glyphs(key: str = "doc_id") -> Column:
-    """Whether any line of the document has NUL characters (letters that the text layer lost)."""
-    return F.bool_or(F.contains("line", F.lit("\u0000"))).over(Window.partitionBy(key))
-
-
 def text_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, chars, pdf_class): `efiled` from EFILED_CHARS visible characters on, `scanned` below, `missing` without text."""
     chars = visible_chars(F.col(text))
     return docs.select(key, chars.alias("chars"), F.when(F.col(text).isNull(), "missing").when(chars >= EFILED_CHARS, "efiled").otherwise("scanned").alias("pdf_class"))
 
 
-def collapsed(items: Column, tags: Column) -> Column:
+def count_visible(text: str) -> int:
+    """Characters other than white space, of one text."""
+    return sum(map(len, text.split()))
+
+
+def has_collapsed(items: int, tags: int) -> bool:
     """Too few items for the type tags seen: one for three or more, or no more than half of four or more."""
-    return ((items == 1) & (tags >= 3)) | ((items * 2 <= tags) & (tags >= 4))
+    return (items == 1 and tags >= 3) or (items * 2 <= tags and tags >= 4)

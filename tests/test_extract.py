@@ -1,16 +1,18 @@
 from datetime import date
+from itertools import combinations
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tallyframe.operators import columns as C
 from tallyframe.operators import extract as X
-from tallyframe.operators import lines as L
 
 N = "\x00"
 
 
 def doc(spark, text, doc_id="1"):
-    return L.split_lines(spark.createDataFrame([(doc_id, text)], "doc_id string, text string"))
+    return spark.createDataFrame([(doc_id, text)], "doc_id string, text string")
 
 
 PTR = """ID Owner Asset Type Date
@@ -119,7 +121,9 @@ def test_salvage_keeps_text(spark):
 def test_merged_rows_are_reported(spark):
     text = "Schedule A: Assets\nAlpha [ST] Beta [ST] Gamma [MF] Delta [ST] gfedc\nDigitally signed"
     d = doc(spark, text)
-    assert [r.reason for r in X.incomplete(d, X.schedule_items(d)).collect()] == ["schedule_incomplete"]
+    assert [r.reason for r in X.incomplete(d).collect()] == ["extract_failed"]
+    d = doc(spark, "Schedule A: Assets\nAlpha [ST] Beta [ST] $1 - $200 gfedc\nGamma [MF] $1 - $200 gfedc\nDigitally signed")
+    assert [r.reason for r in X.incomplete(d).collect()] == ["schedule_incomplete"]
 
 
 @pytest.mark.parametrize(
@@ -131,6 +135,10 @@ def test_merged_rows_are_reported(spark):
         ("Over $1,000,000 Rent $1 - $200", [None, (1, 200)]),
         ("$500 - $100", [None]),
         ("$5,001 - nothing", [None]),
+        ("Fund [MF] $1,001 - Dividends $15,000 $700", [None]),  # two sums for one open range: none is made up
+        ("Bank [BA] JT $100,001 - Interest $201 - $1,000", [None, (201, 1000)]),
+        ("Rental [RP] $250,001 - Rent $15,001 - $500,000 $50,000", [(250001, 500000), (15001, 50000)]),
+        (" ".join(["$1,001 - $15,000"] * 40) + " $9,999", [(1001, 15000)] * 40),  # ranges and a sum that belongs to none
         ("x", []),
     ],
 )
@@ -138,19 +146,79 @@ def test_amount_columns(text, expected):
     assert [s.amount and (s.amount.low, s.amount.high) for s in C.amount_slots(text)] == expected
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.one_of(st.none(), st.integers(1, 9)), st.booleans()), max_size=7), st.lists(st.integers(1, 9), max_size=4), st.randoms(use_true_random=False))
+def test_released_bounds_against_all_sets(rows, alone, r):
+    """The walk finds the fewest and first ranges that a search over all sets finds, without its limit on their number."""
+    ranges = [C.Range(i * 10, low, high) for i, (low, high, _) in enumerate(rows)]
+    singles = sorted((r.randrange(0, 10 * len(rows) + 10) * 10 + 5, v) for v in alone)
+
+    def fits(split):
+        low = [x.low for i, x in enumerate(ranges) if x.high is None or i in split]
+        pool = [v for _, v in sorted([*singles, *((x.at + 1, x.high) for i, x in enumerate(ranges) if i in split)])]
+        return len(low) == len(pool) and all(a <= b for a, b in zip(low, pool)) and all(x.low <= x.high for i, x in enumerate(ranges) if x.high is not None and i not in split)
+
+    closed = [i for i, x in enumerate(ranges) if x.high is not None]
+    expected = next((frozenset(c) for n in range(len(closed) + 1) for c in combinations(closed, n) if fits(c)), None)
+    assert C.fewest_released(ranges, singles) == expected
+
+
+@pytest.mark.parametrize("line", ["filing id", "current Year to filing", "year to year", "to Preceding", "LIABILITY type", "Date Exp.", "Source (Name and Address) Brief", "S\0\0 D\0\0\0"])
+def test_column_headers_are_no_rows(line):
+    assert C.Layout().is_furniture(line)
+    assert not C.Layout().is_furniture("Acme Filing Corp (AFC) [ST]")
+
+
+@pytest.mark.parametrize(
+    ("letter", "raw", "expected"),
+    [
+        ("C", "Foo Retirement Plan $1.00 N/A", {"source": "Foo", "income_type": "Retirement Plan", "amount": "$1.00", "amount_preceding": "N/A"}),
+        ("E", "Vice President, Board Acme", {"position": "Vice President, Board", "organization": "Acme"}), ("E", "Unknown thing", {}),
+        ("F", "1990 Myself & American University 401(k) plan", {"date": "1990", "parties": "Myself & American University", "terms": "401(k) plan"}), ("F", "May 2015 Pension of X", {"date": "May 2015", "parties": "Pension of X"}),
+        ("G", "A $5 b", {"source": "A", "value": "$5"}), ("H", "X 01/2020 none", {"source": "X", "dates": "01/2020"}),
+        ("H", "Institute 01/02/2020 - 01/05/2020 Baltimore - 3 for Policy, Inc Jacksonville - Baltimore", {"source": "Institute for Policy, Inc", "dates": "01/02/2020 - 01/05/2020", "location": "Baltimore - Jacksonville - Baltimore"}),
+        ("I", "Foo 04/22/2022 $5", {"source": "Foo", "date": "04/22/2022", "amount": "$5"}), ("I", "no date $7", {"source": "no date", "amount": "$7"}), ("J", "none", {}),
+    ],
+)
+def test_forms(letter, raw, expected):
+    assert {k: v for k, v in C.PARSERS[letter](raw, C.Layout(), C.LATEST_YEAR).items() if v is not None} == expected
+
+
+def test_long_rows_end_soon():
+    for letter in "ABCDEFGHIJ":
+        for raw in ("x" * 200_000, "a " * 20_000, "$1 " * 5_000, "01/02/2020 " * 5_000, "Director " * 5_000):
+            C.PARSERS[letter](raw, C.Layout(), C.LATEST_YEAR)
+
+
+def test_tag_that_wrapped_far(spark):
+    """The look-ahead has no limit on what stands before the tag."""
+    text = "Schedule A: x\nAlpha Fund $1,001 - $15,000 None\n" + "and its very long name " * 6 + "[MF]\nDigitally signed"
+    rows = X.schedule_items(doc(spark, text)).collect()
+    assert len(rows) == 1 and rows[0].A.asset_type == "MF" and rows[0].A.value_of_asset.low == 1001
+
+
+def test_lines_as_rows(spark):
+    lines = spark.createDataFrame([("1", i, ln) for i, ln in enumerate(FD.split("\n"))], "doc_id string, line_no int, line string").repartition(5)
+    key = lambda rows: sorted((r.schedule, r.item_no, r.raw_text) for r in rows.collect())
+    assert key(X.schedule_items(X.documents(lines))) == key(X.schedule_items(doc(spark, FD)))
+
+
 def test_empty_input(spark):
-    empty = spark.createDataFrame([], "doc_id string, line_no int, line string")
-    assert X.transactions(empty)[0].count() == 0 and X.schedule_items(empty).count() == 0
+    empty = spark.createDataFrame([(1, None), (2, ""), (3, "\n\r\n")], "doc_id long, text string")
+    for d in (empty, empty.limit(0)):
+        assert X.transactions(d)[0].count() == 0 and X.transactions(d)[1].count() == 0 and X.schedule_items(d).count() == 0 and X.incomplete(d).count() == 0
 
 
 def test_outcomes(spark):
     code = "filing_type struct<code:string,label:string>"
-    f = spark.createDataFrame([("1", ("O", "")), ("2", ("P", "")), ("3", ("O", "")), ("4", ("X", "")), ("5", ("O", "")), ("6", ("Q", ""))], f"doc_id string, {code}")
-    texts = {"1": FD, "2": PTR.replace("FILING STATUS: New\n", ""), "3": "x" * 30, "4": "y" * 30, "6": "z" * 30}
-    lines = L.split_lines(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
-    items = X.schedule_items(lines)
-    out = {r.doc_id: (r.pdf_class, r.parse_status, r.reason) for r in X.outcomes(f, lines, X.transactions(lines)[1], items, X.incomplete(lines, items)).collect()}
+    f = spark.createDataFrame([("1", ("O", "")), ("2", ("P", "")), ("3", ("O", "")), ("4", ("X", "")), ("5", ("O", "")), ("6", ("Q", "")), ("7", ("P", "")), ("8", ("A", "")), ("9", ("O", "")), ("10", (None, None))], f"doc_id string, {code}")
+    odd = "schedule B: trades\nAlpha [ST] SP 02/30/2020 P $1 - $200 gfedc\nschedule A: assets\nBeta [ST] Gamma [MF] $1 - $200 gfedc\nDelta [ST] $1 - $200 gfedc"
+    texts = {"1": FD, "2": PTR.replace("FILING STATUS: New\n", ""), "3": "x" * 30, "4": "y" * 30, "6": "z" * 30, "7": PTR, "8": odd, "9": "x"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    out = {r.doc_id: (r.pdf_class, r.parse_status, r.reasons) for r in X.outcomes(f, docs).collect()}
     assert out == {
-        "1": ("efiled", "ok", None), "2": ("efiled", "error", "extract_failed"), "3": ("efiled", "error", "extract_failed"), "4": ("efiled", "ok", None),
-        "5": ("missing", "ok", "missing"), "6": ("efiled", "ok", "unknown_type"),
+        "1": ("efiled", "ok", []), "2": (None, "error", ["extract_failed"]), "3": (None, "error", ["extract_failed"]), "4": ("efiled", "ok", []), "5": ("missing", "ok", ["missing"]), "6": ("efiled", "ok", ["unknown_type"]),
+        "7": ("efiled", "ok", ["date_out_of_range"]), "8": ("efiled", "ok", ["date_out_of_range", "schedule_incomplete"]), "9": ("scanned", "ok", ["scanned"]), "10": ("missing", "ok", ["missing", "unknown_type"]),
     }
+    only = {r.doc_id: (r.pdf_class, r.parse_status, r.reasons) for r in X.outcomes(f, docs, families={"ptr"}).collect()}
+    assert only["1"] == (None, "ok", []) and only["7"] == out["7"] and X.unparsed(X.outcomes(f, docs)).count() == 10

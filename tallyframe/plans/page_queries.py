@@ -128,16 +128,19 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS IN
 FROM r JOIN guard USING (doc_id) WHERE head AND have = want""",
     "page_failures": _LINES + " SELECT doc_id, 'extract_failed' AS reason FROM guard WHERE have - inverted <> want",
     "page_holdings": _PART_A.replace("{text}", "text")
-    + r"""
+    + r""",
+m AS (SELECT *, list_transform(regexp_extract_all(line, '\$[0-9,]+ - \$[0-9,]+'), lambda x: list_transform(string_split(replace(replace(x, '$', ''), ',', ''), ' - '), lambda y: CAST(y AS BIGINT))) AS sums FROM a),
+n AS (SELECT *, list_transform(sums, lambda x: CASE WHEN x[1] <= x[2] THEN x[1] END) AS low FROM m)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER) AS item_no, trim(regexp_replace(split_part(line, '[', 1), '\s+', ' ', 'g')) AS asset,
-  nullif(regexp_extract(line, '\] *(SP|DC|JT) ', 1), '') AS owner, regexp_extract(line, '\[([A-Z0-9]+)\]', 1) AS asset_type, CAST(replace(regexp_extract(line, '\$([0-9,]+) - ', 1), ',', '') AS BIGINT) AS value_low,
-  regexp_extract(line, '- \$[0-9,]+ (.*) \$[0-9,]+ - ', 1) AS income_type,
-  CASE WHEN NOT contains(line, ' None $') THEN CAST(nullif(replace(regexp_extract(line, ' - \$[0-9,]+ .*\$([0-9,]+) - ', 1), ',', ''), '') AS BIGINT) END AS income_low,
-  CASE WHEN contains(line, ' None $') THEN CAST(nullif(replace(regexp_extract(line, ' - \$[0-9,]+ .*\$([0-9,]+) - ', 1), ',', ''), '') AS BIGINT) END AS preceding_low
-FROM a WHERE starts""",
+  nullif(regexp_extract(line, '\] *(SP|DC|JT) ', 1), '') AS owner, regexp_extract(line, '\[([A-Z0-9]+)\]', 1) AS asset_type, low[1] AS value_low,
+  nullif(regexp_extract(line, '^[^$]*\$[0-9,]+ - \$[0-9,]+ ([^$]*[^$ ]) *(\$|$)', 1), '') AS income_type,
+  CASE WHEN NOT contains(line, ' None $') THEN low[2] END AS income_low, CASE WHEN contains(line, ' None $') THEN low[2] END AS preceding_low
+FROM n WHERE starts""",
     "page_incomplete": _PART_A.replace("{text}", r"regexp_replace(text, '\$1,001 - \$15,000 hkwdcb?[\r\n]+', '$1,001 - $15,000 ', 'g')")
     + r""",
-n AS (SELECT doc_id, count(*) FILTER (starts) AS items, sum(tags) AS tags, max(tags) AS most FROM a GROUP BY 1)
+i AS (SELECT doc_id, tags, greatest(sum(CAST(starts AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i), 1) AS item FROM a),
+o AS (SELECT doc_id, item, sum(tags) AS tags FROM i GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS items, sum(tags) AS tags, max(tags) AS most FROM o GROUP BY 1)
 SELECT doc_id, 'A' AS schedule, CASE WHEN (items = 1 AND tags >= 3) OR (items * 2 <= tags AND tags >= 4) THEN 'extract_failed' ELSE 'schedule_incomplete' END AS reason
 FROM n WHERE (items = 1 AND tags >= 3) OR (items * 2 <= tags AND tags >= 4) OR most >= 2""",
     "page_schedules": """

@@ -427,15 +427,13 @@ def line_item_keys(fd: DataFrame, ptr: DataFrame) -> DataFrame:
 
 
 def line_items(fd: DataFrame, ptr: DataFrame) -> DataFrame:
-    """One row for each line item: its place, its interval and its fields, whatever their type in the body was."""
+    """One row for each line item: its place and its fields, whatever their type in the body was."""
     items = report_nodes(fd, ptr, ("item", "fields"))
     get = lambda *names: F.coalesce(*(F.try_element_at("fields", F.lit(n)) for n in names))
     return items.select(
         "body_id",
         "schedule",
         "item_no",
-        "pre",
-        "post",
         get("asset", "source", "creditor", "organization").alias("name"),
         get("owner").alias("owner"),
         get("asset_type", "liability_type").alias("item_type"),

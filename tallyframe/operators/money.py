@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyframe import types as kinds
 from tallyframe.functions import values
@@ -113,7 +112,7 @@ def over_limit(kept: DataFrame, limit: int = kinds.CYCLE_LIMIT) -> DataFrame:
 
 
 def contributing(committee: DataFrame, kept: DataFrame) -> DataFrame:
-    """The committees that gave, in the order in which they first did."""
+    """The committees that gave, with the row in which each first did; in that order."""
     first = kept.groupBy(F.col("contributor_committee_id").alias("committee_id")).agg(F.min("row").alias("first_row"))
     return committee.join(first, "committee_id").orderBy("first_row")
 
@@ -123,8 +122,10 @@ def expenditures(ie: DataFrame, links: DataFrame | None = None, committee: DataF
     and the others with the reason alone. links: candidate_id, bioguide_id, place; the last one of a candidate counts."""
     cell = lambda name: strip_unicode(F.coalesce(F.col(name), F.lit("")))
     raw = cell("sup_opp")
+    # Rows with fewer cells than the header are marked by their source.
+    short = F.col("short") if "short" in ie.columns else F.lit(False).alias("short")
     out = ie.select(
-        F.col(row), cell("spe_id").alias("spender_committee_id"), blank_to_null(cell("spe_nam")).alias("spender_name"), blank_to_null(cell("cand_id")).alias("candidate_id"),
+        F.col(row), short, cell("spe_id").alias("spender_committee_id"), blank_to_null(cell("spe_nam")).alias("spender_name"), blank_to_null(cell("cand_id")).alias("candidate_id"),
         blank_to_null(F.upper(cell("can_office"))).alias("office"), values.label_of(blank_to_null(F.upper(raw)), kinds.DIRECTIONS).alias("support_oppose"), blank_to_null(raw).alias("support_oppose_raw"),
         values.money(F.col("exp_amo")).alias("amount"), values.day_month_date(F.col("exp_date")).alias("date"), blank_to_null(cell("pur")).alias("purpose"),
         blank_to_null(cell("image_num")).alias("image_number"), blank_to_null(cell("tran_id")).alias("transaction_id"), F.lit(kinds.PROVENANCE_IE).alias("provenance"),
@@ -134,14 +135,9 @@ def expenditures(ie: DataFrame, links: DataFrame | None = None, committee: DataF
         out = out.join(last, "candidate_id", "left")
     if committee is not None:
         out = out.join(committee.select(F.col("committee_id").alias("spender_committee_id"), "connected_organization_name"), "spender_committee_id", "left")
-    reason = F.when(~is_house(F.col("office")), "not_house_candidate").when(F.col("candidate_id").isNull(), "unresolved_candidate")
-    return out.withColumn("reason", reason)
+    reason = F.when(F.col("short"), "malformed_short_row").when(~is_house(F.col("office")), "not_house_candidate").when(F.col("candidate_id").isNull(), "unresolved_candidate")
+    return out.withColumn("reason", reason).drop("short")
 
 
 def direction_counts(kept: DataFrame) -> DataFrame:
     return kept.groupBy(F.coalesce("support_oppose", F.lit("unspecified")).alias("direction")).agg(F.count("*").alias("n"), F.sum(values.cents(F.col("amount"))).alias("total"))
-
-
-def running_total(df: DataFrame, key: Column, order: Column, amount: Column) -> Column:
-    """Sum so far within a key (an ordered window)."""
-    return F.sum(amount).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))

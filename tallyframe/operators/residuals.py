@@ -41,6 +41,9 @@ def ticker_blind_spot(flat: DataFrame, member: str | None = None, since=None, un
 
 
 def year_summary(filings: DataFrame, unparsed: DataFrame) -> DataFrame:
-    """A row for each year: class counts, and how many entries the list of unparsed filings has for it."""
+    """A row for each year: class counts, how many filers are unmatched (each is an identity warning of the year), and how
+    many entries the list of unparsed filings has for it."""
     listed = unparsed.groupBy("coverage_year").agg(F.count("*").alias("unparsed"))
-    return class_counts(filings, ["coverage_year"]).join(listed, "coverage_year", "left").withColumn("unparsed", F.coalesce("unparsed", F.lit(0)))
+    warned = filings.where("bioguide_id IS NULL").groupBy("coverage_year").agg(F.count_distinct("filer_id").alias("identity_warnings"))
+    out = class_counts(filings, ["coverage_year"]).join(listed, "coverage_year", "left").join(warned, "coverage_year", "left")
+    return out.fillna(0, ["unparsed", "identity_warnings"])

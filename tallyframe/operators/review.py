@@ -31,6 +31,27 @@ def select(filings: DataFrame, sample: float, seed: str = "0") -> DataFrame:
     return kept.withColumn("rank", rank).where(F.col("rank") <= F.col("take")).drop("n", "take", "u", "rank", "enough").orderBy("doc_id")
 
 
+def snapshot(rows: DataFrame, body: str = "body") -> Column:
+    """A hash of each filing with its body (a column, if there is one): another one as soon as either changes."""
+    own = sorted(c for c in rows.columns if c not in ("stratum", "snapshot", body))
+    parts = [F.struct(*own).alias("filing")] + ([F.col(body).alias("body")] if body in rows.columns else [])
+    return values.snapshot(*parts)
+
+
+def queue(selected: DataFrame, labels: DataFrame, body: str = "body") -> DataFrame:
+    """The selected filings with `state`: `open` without a verdict, `stale` if it was given for another record, `done`."""
+    seen = with_labels(selected.drop("snapshot"), labels, snapshot(selected, body))
+    return seen.withColumn("state", F.when(F.col("snapshot").isNull(), "open").when(F.col("stale"), "stale").otherwise("done"))
+
+
+def payload(selected: DataFrame, labels: DataFrame, body: str = "body") -> DataFrame:
+    """(doc_id, filing, body, verdict, state): what a reviewer is shown of each filing; a missing body or verdict is null."""
+    own = [c for c in selected.columns if c not in ("stratum", "snapshot", body)]
+    given = labels.select("doc_id", "snapshot", F.struct(*[c for c in labels.columns if c != "doc_id"]).alias("verdict"))
+    shown = queue(selected, given, body)
+    return shown.select("doc_id", F.struct(*own).alias("filing"), (F.col(body) if body in selected.columns else F.lit(None).cast("string")).alias("body"), "verdict", "state")
+
+
 def with_labels(selected: DataFrame, labels: DataFrame, snapshot: Column) -> DataFrame:
     """Adds the verdict of each filing and whether it is stale: given for another snapshot of the record."""
     joined = selected.withColumn("current_snapshot", snapshot).join(labels, "doc_id", "left")

@@ -210,8 +210,8 @@ QUERIES = {
     )
 }
 
-_CURRENT = """cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coverage_year, doc_id ORDER BY load_no DESC NULLS LAST, row_no DESC) AS k_ FROM filings) WHERE k_ = 1 OR trim(coalesce(doc_id, '')) = '')"""
-_FLAT = f"""{_CURRENT},
+CURRENT = """cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coverage_year, doc_id ORDER BY load_no DESC NULLS LAST, row_no DESC) AS k_ FROM filings) WHERE k_ = 1 OR trim(coalesce(doc_id, '')) = '')"""
+_FLAT = f"""{CURRENT},
 body AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coverage_year, doc_id ORDER BY body_id DESC) AS k_ FROM ptr) WHERE k_ = 1),
 flat AS (SELECT doc_id, coverage_year, filer_id, i - 1 AS item, transactions[i] AS t
   FROM (SELECT f.doc_id, f.coverage_year, f.filer_id, b.transactions, unnest(generate_series(1, len(b.transactions))) AS i
@@ -220,7 +220,7 @@ _COUNTS = """count(*) AS total, count(*) FILTER (pdf_class = 'efiled') AS efiled
   count(*) FILTER (pdf_class = 'missing') AS missing, count(*) FILTER (coalesce(pdf_class, '') NOT IN ('efiled', 'scanned', 'missing')) AS not_classified,
   count(*) FILTER (coalesce(parse_status, 'ok') = 'ok') AS ok, count(*) FILTER (coalesce(parse_status, 'ok') <> 'ok') AS error"""
 _SLUG = r"lower(regexp_replace(trim(regexp_replace(strip_accents(coalesce({0}, '')), '[^\w\s]', ' ', 'g')), '\s+', '-', 'g'))"
-_KEY = (
+KEY = (
     "concat_ws('.', lower(coalesce(nullif(state_district.state, ''), 'unk')), "
     + _SLUG.format("filer.last")
     + ", "
@@ -229,13 +229,13 @@ _KEY = (
     + _SLUG.format("filer.suffix")
     + ", ''))"
 )
-_SEATS = """seat AS (SELECT DISTINCT bioguide, last, upper(t.state) AS state, t.district AS district FROM
+SEATS = """seat AS (SELECT DISTINCT bioguide, last, upper(t.state) AS state, t.district AS district FROM
   (SELECT id.bioguide AS bioguide, name.last AS last, unnest(terms) AS t FROM legislators_current) WHERE t.type = 'rep' AND t.state IS NOT NULL AND t.district IS NOT NULL),
 idx AS (SELECT lower(trim(strip_accents(last))) AS lk, state, district, count(DISTINCT bioguide) AS n, CASE WHEN count(DISTINCT bioguide) = 1 THEN min(bioguide) END AS b FROM seat GROUP BY ALL),
 matched AS (SELECT f.*, CASE WHEN coalesce(f.filing_type.code, '') <> 'C' THEN i.b END AS seat_bioguide, coalesce(i.n > 1, false) AS ambiguous
   FROM filings f LEFT JOIN idx i ON lower(trim(strip_accents(f.filer.last))) = i.lk AND upper(f.state_district.state) = i.state AND f.state_district.district = i.district)"""
 _REASONED = (
-    _SEATS
+    SEATS
     + """,
 held AS (SELECT DISTINCT state, district FROM seat),
 reasoned AS (SELECT m.*, CASE WHEN m.filing_type.code = 'C' THEN 'candidate' WHEN m.state_district.state IS NULL OR m.state_district.district IS NULL THEN 'no_district'
@@ -248,7 +248,7 @@ warn AS (SELECT filer_id, arg_min(reason, r) AS reason, string_agg(doc_id, ',' O
 nm AS (SELECT filer_id, string_agg(raw_name, '|' ORDER BY seen) AS raw_names FROM (SELECT filer_id, raw_name, min(row_no) AS seen FROM reasoned GROUP BY 1, 2) GROUP BY 1)"""
 )
 _SAMPLE = """one AS (SELECT * FROM cur WHERE trim(coalesce(doc_id, '')) <> '' AND parse_status = 'ok')"""
-_LABELLED = f"""{_CURRENT},
+_LABELLED = f"""{CURRENT},
 chosen AS (SELECT DISTINCT ON (doc_id) doc_id, filer_id, coalesce(nullif(pdf_class, ''), 'unknown') AS pdf_class, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family
   FROM cur WHERE trim(coalesce(doc_id, '')) <> '' AND parse_status = 'ok'),
 digit AS (SELECT *, ('0x' || substr(sha256(doc_id), 1, 2))::INTEGER AS g FROM chosen),
@@ -278,7 +278,7 @@ FROM flat WHERE t.ticker IS NOT NULL GROUP BY 1""",
     "bucket_low": f"""WITH {_FLAT} SELECT doc_id, coverage_year, item, t.amount_range.low AS low, t.amount_range.high AS high, t.amount_range.exact AS exact,
 CASE WHEN t.amount_range.exact IS NULL THEN '{{"low":' || t.amount_range.low || ',"high":' || t.amount_range.high || ',"label":"' || t.amount_range.label || '"}}' END AS stored
 FROM flat WHERE coalesce(t.amount_range.exact, CAST(t.amount_range.low AS DOUBLE)) >= 15001""",
-    "holdings": f"""WITH {_CURRENT},
+    "holdings": f"""WITH {CURRENT},
 lastfd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coverage_year, doc_id ORDER BY body_id DESC) AS k_ FROM fd) WHERE k_ = 1),
 once AS (SELECT body_id, coverage_year, doc_id, CASE WHEN json_valid(ltrim(body, chr(65279))) THEN CAST(ltrim(body, chr(65279)) AS JSON) END AS j FROM lastfd),
 read AS (SELECT body_id, coverage_year, doc_id, CASE WHEN json_type(j) = 'VARCHAR' AND json_valid(j ->> '$') THEN CAST(j ->> '$' AS JSON) WHEN json_type(j) = 'OBJECT' THEN j END AS j FROM once),
@@ -291,19 +291,19 @@ it AS (SELECT body_id, coverage_year, doc_id, page, i, items[i] AS x FROM (SELEC
 numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY body_id ORDER BY page, i) AS INTEGER) AS item FROM it)
 SELECT f.doc_id, f.coverage_year, n.item, f.filer_id, n.x ->> '$.asset' AS asset, n.x ->> '$.asset_type' AS asset_type FROM numbered n JOIN cur f ON f.coverage_year = n.coverage_year AND f.doc_id = n.doc_id
 WHERE coalesce(f.filing_type.code, '') <> 'P' AND contains(lower(n.x ->> '$.asset'), 'bond') AND upper(n.x ->> '$.owner') = 'JT'""",
-    "year_summary": f"""SELECT f.*, coalesce(u.unparsed, 0) AS unparsed FROM (SELECT coverage_year, {_COUNTS} FROM filings GROUP BY 1) f LEFT JOIN (SELECT coverage_year, count(*) AS unparsed FROM unparsed_manifest GROUP BY 1) u USING (coverage_year)""",
+    "year_summary": f"""SELECT f.*, coalesce(u.unparsed, 0) AS unparsed FROM (SELECT coverage_year, {_COUNTS}, count(DISTINCT filer_id) FILTER (bioguide_id IS NULL) AS identity_warnings FROM filings GROUP BY 1) f LEFT JOIN (SELECT coverage_year, count(*) AS unparsed FROM unparsed_manifest GROUP BY 1) u USING (coverage_year)""",
     "type_counts": "SELECT coverage_year, filing_type.code AS code, count(*) AS n FROM filings GROUP BY ALL",
     "residual_counts": "SELECT count(*) FILTER (pdf_class = 'efiled' AND filing_type.code = 'P') AS efiled_ptr, count(*) FILTER (pdf_class = 'efiled' AND coalesce(filing_type.code, '') <> 'P') AS efiled_other FROM filings",
     "unparsed_reasons": """SELECT r.reason, count(u.reason) AS n FROM (VALUES ('scanned'), ('missing'), ('extract_failed'), ('unknown_type'), ('date_out_of_range'), ('schedule_incomplete')) r(reason) LEFT JOIN unparsed_manifest u USING (reason) GROUP BY 1""",
-    "identity_ladder": f"""WITH {_SEATS} SELECT row_no, seat_bioguide, ambiguous, coalesce('bioguide:' || nullif(seat_bioguide, ''), 'name:' || {_KEY}) AS built_id FROM matched""",
+    "identity_ladder": f"""WITH {SEATS} SELECT row_no, seat_bioguide, ambiguous, coalesce('bioguide:' || nullif(seat_bioguide, ''), 'name:' || {KEY}) AS built_id FROM matched""",
     "identity_warnings": f"""WITH {_REASONED} SELECT filer_id, reason, raw_names, doc_ids, districts FROM warn JOIN nm USING (filer_id)""",
     "match_summary": f"""WITH {_REASONED} SELECT (SELECT count(DISTINCT bioguide_id) FROM filings) AS matched, count(*) AS unmatched, count(*) FILTER (reason = 'candidate') AS candidate, count(*) FILTER (reason = 'no_district') AS no_district,
 count(*) FILTER (reason = 'unknown_seat') AS unknown_seat, count(*) FILTER (reason = 'ambiguous_seat') AS ambiguous_seat, count(*) FILTER (reason = 'suspicious') AS suspicious FROM warn""",
-    "seat_holders": f"""WITH {_SEATS} SELECT state, district, string_agg(DISTINCT bioguide, ',' ORDER BY bioguide) AS holders FROM seat GROUP BY ALL""",
-    "name_keys": f"SELECT row_no, {_KEY} AS name_key FROM filings",
+    "seat_holders": f"""WITH {SEATS} SELECT state, district, string_agg(DISTINCT bioguide, ',' ORDER BY bioguide) AS holders FROM seat GROUP BY ALL""",
+    "name_keys": f"SELECT row_no, {KEY} AS name_key FROM filings",
     "seat_parse": """SELECT row_no, CASE WHEN coalesce(state_district.raw, '') <> '' THEN substr(state_district.raw, 1, 2) END AS state,
 CASE WHEN coalesce(state_district.raw, '') <> '' THEN coalesce(try_cast(nullif(trim(substr(state_district.raw, 3)), '') AS INTEGER), 0) END AS district FROM filings""",
-    "stratified_sample": f"""WITH {_CURRENT}, {_SAMPLE}, s AS (SELECT *, coalesce(nullif(pdf_class, ''), 'unknown') AS pc, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family FROM one),
+    "stratified_sample": f"""WITH {CURRENT}, {_SAMPLE}, s AS (SELECT *, coalesce(nullif(pdf_class, ''), 'unknown') AS pc, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family FROM one),
 r AS (SELECT *, row_number() OVER (PARTITION BY pc, family ORDER BY substr(sha256('0:' || doc_id), 1, 16), doc_id) AS k, count(*) OVER (PARTITION BY pc, family) AS n FROM s)
 SELECT doc_id, coverage_year, pc AS pdf_class, family FROM r WHERE k <= ceil(0.02 * n)""",
     "scorecard": f"""WITH {_LABELLED} SELECT pdf_class, family, false AS overall, {_LABELS_SCORE} FROM fresh GROUP BY 1, 2 UNION ALL SELECT NULL, NULL, true, {_LABELS_SCORE} FROM fresh""",

@@ -108,7 +108,7 @@ _CM = """cm AS (SELECT CAST(s_suppkey AS VARCHAR) AS committee_id, s_name AS nam
   FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 con AS (SELECT CAST(l_orderkey AS VARCHAR) AS rec, CAST(l_suppkey AS VARCHAR) AS ctr, l_extendedprice AS amount, l_orderkey * 10 + l_linenumber AS row, year(l_shipdate) + year(l_shipdate) % 2 AS cycle FROM lineitem),
 lnk AS (SELECT 'M' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS bio, CAST(o_orderkey AS VARCHAR) AS cid FROM orders)"""
-_IE = r"""leg AS (SELECT candidate_id, max(bioguide) AS bioguide_id FROM (SELECT id.bioguide AS bioguide, unnest(id.fec) AS candidate_id FROM legislators_current) WHERE trim(candidate_id) <> '' GROUP BY 1),
+EXPENDITURES = r"""leg AS (SELECT candidate_id, max(bioguide) AS bioguide_id FROM (SELECT id.bioguide AS bioguide, unnest(id.fec) AS candidate_id FROM legislators_current) WHERE trim(candidate_id) <> '' GROUP BY 1),
 e AS (SELECT delivery_no, trim(coalesce(spe_id, '')) AS spender_committee_id, nullif(trim(coalesce(spe_nam, '')), '') AS spender_name, nullif(trim(coalesce(cand_id, '')), '') AS candidate_id,
   nullif(upper(trim(coalesce(can_office, ''))), '') AS office, CASE upper(trim(coalesce(sup_opp, ''))) WHEN 'S' THEN 'support' WHEN 'O' THEN 'oppose' END AS support_oppose, nullif(trim(coalesce(sup_opp, '')), '') AS support_oppose_raw,
   coalesce(try_cast(trim(exp_amo) AS DOUBLE), 0.0) AS amount, CAST(try_strptime(upper(trim(exp_date)), '%d-%b-%y') AS DATE) AS date,
@@ -125,10 +125,10 @@ SELECT bio AS bioguide_id, sum(CAST(amount AS DECIMAL(18,2))) AS total, count(*)
     "path1_split": f"""WITH {_CM} SELECT CASE WHEN k.committee_id IS NULL THEN 'unresolved_committee' WHEN raw IN ('C','T','L','M','V','W') THEN 'kept' ELSE 'not_connected_ssf' END AS reason, otype AS organization_type, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS total
 FROM con LEFT JOIN (SELECT * FROM cm WHERE CAST(committee_id AS INT) % 7 <> 0) k ON ctr = k.committee_id GROUP BY ALL""",
     "dedup_first": """SELECT delivery_no, tran_id FROM (SELECT delivery_no, trim(tran_id, ' ') AS tran_id, row_number() OVER (PARTITION BY trim(tran_id, ' ') ORDER BY delivery_no) AS k FROM independent_expenditure_2024) WHERE k = 1 OR coalesce(tran_id, '') = ''""",
-    "ie_rows": f"WITH {_IE} SELECT delivery_no, spender_committee_id, candidate_id, bioguide_id, support_oppose, support_oppose_raw, amount, date, transaction_id, reason FROM x WHERE office = 'H'",
-    "ie_direction": f"WITH {_IE} SELECT coalesce(support_oppose, 'unspecified') AS direction, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS total FROM x WHERE office = 'H' GROUP BY 1",
-    "ie_reasons": f"WITH {_IE} SELECT r.reason, count(x.reason) AS n FROM (VALUES ('not_house_candidate'), ('unresolved_candidate'), ('malformed_short_row')) r(reason) LEFT JOIN x USING (reason) GROUP BY 1",
-    "ie_spenders": f"""WITH {_IE} SELECT spender_committee_id, arg_min(spender_name, delivery_no) AS spender_name, coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (support_oppose = 'support'), 0) AS supporting,
+    "ie_rows": f"WITH {EXPENDITURES} SELECT delivery_no, spender_committee_id, candidate_id, bioguide_id, support_oppose, support_oppose_raw, amount, date, transaction_id, reason FROM x WHERE office = 'H'",
+    "ie_direction": f"WITH {EXPENDITURES} SELECT coalesce(support_oppose, 'unspecified') AS direction, count(*) AS n, sum(CAST(amount AS DECIMAL(18,2))) AS total FROM x WHERE office = 'H' GROUP BY 1",
+    "ie_reasons": f"WITH {EXPENDITURES} SELECT r.reason, count(x.reason) AS n FROM (VALUES ('not_house_candidate'), ('unresolved_candidate'), ('malformed_short_row')) r(reason) LEFT JOIN x USING (reason) GROUP BY 1",
+    "ie_spenders": f"""WITH {EXPENDITURES} SELECT spender_committee_id, arg_min(spender_name, delivery_no) AS spender_name, coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (support_oppose = 'support'), 0) AS supporting,
 coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (support_oppose = 'oppose'), 0) AS opposing, count(*) AS n FROM x GROUP BY 1""",
     "date_parse": """SELECT delivery_no, CAST(try_strptime(upper(trim(exp_date)), '%d-%b-%y') AS DATE) AS exp_date, CAST(try_strptime(upper(trim(receipt_dat)), '%d-%b-%y') AS DATE) AS receipt_date,
 CASE WHEN year(try_strptime(upper(trim(dissem_dt)), '%d-%b-%y')) <= 2024 THEN CAST(try_strptime(upper(trim(dissem_dt)), '%d-%b-%y') AS DATE) END AS dissem_date FROM independent_expenditure_2024""",

@@ -158,3 +158,16 @@ UNION ALL SELECT doc_id, 'I', 1, n || ' Paper|Article|04/22/' || y || '|$500.00'
 UNION ALL SELECT doc_id, 'J', 1, n || ' Inc (Dallas, TX)|Legal advice ' || k FROM c
 """,
 }
+
+# What each text of `txt` (doc_id, text) is as a report of transactions and as an annual report.
+_ANY = "FROM documents WHERE source = '{0}' AND text IS NOT NULL"
+READINGS = f"""as_ptr AS ({_LINES.replace(_ANY.format("clerk_ptr_page"), "FROM txt")}
+  SELECT guard.doc_id, have <> want AS ptr_failed, coalesce((SELECT bool_or(try_strptime(g.d1, '%m/%d/%Y') IS NULL OR try_strptime(g.d2, '%m/%d/%Y') IS NULL OR year(try_strptime(g.d1, '%m/%d/%Y')) NOT BETWEEN 1990 AND 2100) FROM r WHERE r.doc_id = guard.doc_id AND head), false) AS odd_date FROM guard),
+as_fd AS ({_PART_A.replace("{text}", "text").replace(_ANY.format("clerk_fd_page"), "FROM txt")},
+  i AS (SELECT doc_id, tags, greatest(sum(CAST(starts AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i), 1) AS item FROM a),
+  o AS (SELECT doc_id, item, sum(tags) AS tags FROM i GROUP BY ALL),
+  n AS (SELECT doc_id, count(*) AS items, sum(tags) AS tags, max(tags) AS most FROM o GROUP BY 1),
+  h AS (SELECT doc_id, bool_or(heading IS NOT NULL) AS headed FROM y GROUP BY 1)
+  SELECT h.doc_id, headed, coalesce((items = 1 AND tags >= 3) OR (items * 2 <= tags AND tags >= 4), false) AS fd_failed, coalesce(most >= 2, false) AS incomplete FROM h LEFT JOIN n USING (doc_id)),
+readings AS (SELECT txt.doc_id, length(regexp_replace(text, '[\\s\\x{{0B}}\\x{{85}}\\p{{Z}}]', '', 'g')) AS chars, coalesce(ptr_failed, false) AS ptr_failed, coalesce(odd_date, false) AS odd_date, coalesce(headed, false) AS headed, coalesce(fd_failed, false) AS fd_failed,
+  coalesce(incomplete, false) AS incomplete FROM txt LEFT JOIN as_ptr USING (doc_id) LEFT JOIN as_fd USING (doc_id))"""

@@ -58,6 +58,16 @@ def edits(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    # What both begin and end with plays no part.
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi and a[lo] == b[lo]:
+        lo += 1
+    end = 0
+    while end < hi - lo and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[lo : len(a) - end], b[lo : len(b) - end]
+    if not a or not b:
+        return len(a) + len(b)
     before, last = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
@@ -212,8 +222,10 @@ def read_name(first: str | None, last: str | None, suffix: str | None, given_nam
     gen = None
     for s in _tokens(fold(suffix)):
         gen = SUFFIXES.get(s, gen)
-    nick = [t for part in _ASIDE.findall(f"{first} {last}") for p in part for t in _tokens(p)]
-    bare, last = _ASIDE.sub(" ", first), _ASIDE.sub(" ", last)
+    nick, bare = [], first
+    if any(mark in first or mark in last for mark in "(\"“"):
+        nick = [t for part in _ASIDE.findall(f"{first} {last}") for p in part for t in _tokens(p)]
+        bare, last = _ASIDE.sub(" ", first), _ASIDE.sub(" ", last)
 
     def words(text: str) -> list[str]:
         nonlocal gen
@@ -391,3 +403,44 @@ def alignment_cost(a: Name, b: Name) -> float:
     if a.given and b.given and a.means & b.means:
         costs[0][0] = min(costs[0][0], 0.2)
     return assign(costs) / min(len(xs), len(ys))
+
+
+# What it costs that a given name or surname agrees, agrees perhaps, is unknown or is another one; and that a middle name
+# has no counterpart.
+_LEVEL_COST = {AGREE: 0.0, PERHAPS: 0.4, UNKNOWN: 0.6, CONFLICT: 2.0}
+UNPAIRED = 0.1
+# Names whose alignment costs more aren't one person's.
+ALIGNED = 0.75
+
+
+def align(a: Name, b: Name, surname: int | None = None, given: int | None = None) -> float:
+    """Cost of the best alignment of two names, by optimal assignment of their tokens in any order.
+
+    A token stands for another by few edits, as its initial or as an abbreviation, a given name also as a nickname, a
+    surname as a whole, with its words joined or by one of its words. Middle names may stay without a counterpart. The cost
+    is in halves: 1 is one of two names that is another one."""
+    xs, ys = (*a.given[:1], *a.middles), (*b.given[:1], *b.middles)
+    given_a, given_b = len(a.given[:1]), len(b.given[:1])
+    n, m = len(xs) + 1, len(ys) + 1
+    # The last row and column are the surnames; behind the columns, each middle name has a place of its own for none.
+    costs = [[2.0] * (m + n) for _ in range(n)]
+    for i, x in enumerate(xs):
+        for j, y in enumerate(ys):
+            costs[i][j] = _cost(x, y)
+        if len(a.surnames) and len(b.surnames) == 1:
+            costs[i][m - 1] = _cost(x, b.surnames[0])
+        if i >= given_a:
+            costs[i][m + i] = UNPAIRED
+    if len(a.surnames) == 1 and b.surnames:
+        for j, y in enumerate(ys):
+            costs[n - 1][j] = _cost(a.surnames[0], y)
+    costs[n - 1][m - 1] = _LEVEL_COST[compare_surname(a, b) if surname is None else surname]
+    if given_a and given_b:
+        costs[0][0] = _LEVEL_COST[compare_given(a, b) if given is None else given]
+    if n == m == 2 and not a.middles and not b.middles and costs[0][0] <= costs[0][1] and costs[1][1] <= costs[1][0]:
+        return (costs[0][0] + costs[1][1]) / 2  # each row's least in places of their own
+    # Of the other side's middle names those without a counterpart cost as much: all at first, less those that have one.
+    for row in costs:
+        for j in range(given_b, m - 1):
+            row[j] -= UNPAIRED
+    return (assign(costs) + UNPAIRED * len(b.middles)) / 2

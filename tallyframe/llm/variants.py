@@ -1,8 +1,9 @@
 """Variant spellings of names: which entries of a list of typed names mean the same person.
 
 Entries are read into names (see names.py). Entries of one run and state that have surname forms within the accepted
-edit distance (found by symmetric-delete keys over the distinct forms, of up to two letters) are compared by the optimal
-assignment of their tokens. Links between entries whose names are written out are strong and joined into persons
+edit distance (found by symmetric-delete keys over the distinct forms, of up to two letters) are aligned by the optimal
+assignment of their tokens; a link needs a low cost of the alignment, and that no middle name, suffix or given name is
+another one. Links between entries whose names are written out are strong and joined into persons
 (connected components). An entry that could mean several people (an initial, an ambiguous nickname, no state, no
 suffix beside relatives with one) is weak: it joins the one person whose evidence (middle name, suffix, districts) is
 best, and nobody in a tie. Legislators take part as well-spelled names that variants can meet at.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +27,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyframe.llm.graph import components
-from tallyframe.llm.linkage import near_forms, vocabulary
-from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, SUFFIXES, GivenNames, Name, _tokens, alignment_cost, compare_given, compare_middle, compare_suffix, compare_surname, fold, read_name
+from tallyframe.llm.linkage import vocabulary
+from tallyframe.llm.names import AGREE, ALIGNED, CONFLICT, PERHAPS, SUFFIXES, GivenNames, Name, _tokens, align, alike, compare_given, compare_middle, compare_suffix, compare_surname, fold, form_keys, read_name
 from tallyframe.session import cut_lineage
 
-# A packed name: given|middles|surnames|suffix, each a list of words.
+# A packed name: given|middles|surnames|suffix, each a list of words. initials, free: what a given name can begin with, and
+# whether it is none that is known (then it may begin with anything).
 _NODE = T.StructType(
     [
         T.StructField("entry_no", T.LongType()),
@@ -37,9 +40,11 @@ _NODE = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("weak", T.BooleanType()),
         T.StructField("forms", T.ArrayType(T.StringType())),
+        T.StructField("initials", T.ArrayType(T.StringType())),
+        T.StructField("free", T.BooleanType()),
     ]
 )
-_NODE_ARROW = pa.schema([("entry_no", pa.int64()), ("state", pa.string()), ("name", pa.string()), ("weak", pa.bool_()), ("forms", pa.list_(pa.string()))])
+_NODE_ARROW = pa.schema([("entry_no", pa.int64()), ("state", pa.string()), ("name", pa.string()), ("weak", pa.bool_()), ("forms", pa.list_(pa.string())), ("initials", pa.list_(pa.string())), ("free", pa.bool_())])
 
 
 def pack(n: Name) -> str:
@@ -86,28 +91,34 @@ def read_entry(filer_id: str | None, raw_names: list[str | None] | None, given_n
     return state, best
 
 
+_ENTRY = T.StructType([*_NODE, T.StructField("run", T.IntegerType()), T.StructField("districts", T.ArrayType(T.IntegerType()))])
+
+
 def _nodes(given_names: GivenNames):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for entry_no, filer_id, raw_names in zip(*(c.to_pylist() for c in batch.columns)):
+            rows, at = [], []
+            for i, (entry_no, filer_id, raw_names) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]))):
                 state, name = read_entry(filer_id, raw_names, given_names)
                 if name.given and name.surnames:
                     rows.append(_node(entry_no, state, name))
+                    at.append(i)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _NODE_ARROW)], schema=_NODE_ARROW)
+                passed = [batch.column(k).take(pa.array(at, pa.int32())) for k in (3, 4)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(zip(*rows), _NODE_ARROW)), *passed], names=_ENTRY.names)
 
     return run
 
 
 def _node(entry_no, state, name: Name):
     weak = name.initial_only or len(name.means) > 1 or state is None
-    return entry_no, state, pack(name), weak, sorted(name.surname_forms())
+    return entry_no, state, pack(name), weak, sorted(name.surname_forms()), sorted(name.initials), not name.means and not name.initial_only
 
 
 def entry_nodes(entries: DataFrame, given_names: GivenNames) -> DataFrame:
-    """entries: entry_no, filer_id, raw_names -> `_NODE`."""
-    return entries.select(F.col("entry_no").cast("long"), "filer_id", "raw_names").mapInArrow(_nodes(given_names), _NODE)
+    """entries: entry_no, filer_id, raw_names, parse_run, districts -> `_ENTRY`."""
+    narrow = entries.select(F.col("entry_no").cast("long"), "filer_id", "raw_names", F.col("parse_run").cast("int"), F.col("districts").cast("array<int>"))
+    return narrow.mapInArrow(_nodes(given_names), _ENTRY)
 
 
 def _legislator_nodes(given_names: GivenNames):
@@ -131,12 +142,17 @@ _EDGE_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("strong", pa.boo
 
 
 def judge(x: Name, y: Name, weak: bool) -> tuple[bool, float, bool] | None:
-    """(strong, score, whether just one has a suffix) if the names can be one person's, else null."""
-    surname, given, middle, suffix = compare_surname(x, y), compare_given(x, y), compare_middle(x, y), compare_suffix(x, y)
+    """(strong, score, whether just one has a suffix) if the names can be one person's, else null.
+
+    The alignment decides; the check that follows is that nothing names another person."""
+    surname, given = compare_surname(x, y), compare_given(x, y)
+    cost = align(x, y, surname, given)
+    if cost > ALIGNED:
+        return None
+    middle, suffix = compare_middle(x, y), compare_suffix(x, y)
     if surname < PERHAPS or given < PERHAPS or middle == CONFLICT or suffix == CONFLICT:
         return None
-    cost = alignment_cost(x, y)
-    score = (2.0 if middle >= PERHAPS else 0.0) + (1.0 if suffix == AGREE else 0.0) + (1.0 if given == AGREE else 0.0) + (0.5 if surname == AGREE else 0.0) + max(0.0, 1 - cost) / 4
+    score = (2.0 if middle >= PERHAPS else 0.0) + (1.0 if suffix == AGREE else 0.0) + (1.0 if given == AGREE else 0.0) + (0.5 if surname == AGREE else 0.0) + (1 - cost) / 4
     open_suffix = suffix != AGREE
     return not weak and given == AGREE and not open_suffix, score, open_suffix
 
@@ -163,25 +179,87 @@ def _judge_pairs(given_names: GivenNames):
     return run
 
 
+def near_pairs(forms: DataFrame) -> DataFrame:
+    """(form_a, form_b): all pairs of surname forms (column `form`, each form once) that are alike, in both orders, and each
+    form with itself.
+
+    A form meets others at the hashes of its keys, sorted; forms under one key are those that are up to two letters longer
+    than it, a number that the alphabet bounds. What is shuffled: the keys of each form once, and the pairs that meet."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch.column(0).to_pylist()
+            for at in range(0, len(forms), 500):
+                some = forms[at : at + 500]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([sorted(form_keys(f)) for f in some], pa.list_(pa.string()))], names=["form", "keys"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs within runs of one key; most keys have one form alone, which costs nothing here."""
+        last, group = None, []
+
+        def pairs(found: list[tuple[str, str]]) -> None:
+            some = sorted(set(group))
+            found.extend((a, b) for i, a in enumerate(some) for b in some[i + 1 :] if abs(len(a) - len(b)) <= 2)
+
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            if not len(key):
+                continue
+            cuts = np.flatnonzero(np.diff(key, prepend=key[0] - 1, append=key[-1] + 1))
+            several = np.flatnonzero(np.diff(cuts) > 1).tolist()
+            found: list[tuple[str, str]] = []
+            ends = {0, len(cuts) - 2}  # the first run may go on from the batch before, the last one into the next
+            for k in sorted(ends.union(several)):
+                lo, hi = int(cuts[k]), int(cuts[k + 1])
+                if k in ends and key[lo] == last:
+                    group += batch.column(1)[lo:hi].to_pylist()
+                else:
+                    if len(group) > 1:
+                        pairs(found)
+                    last, group = key[lo], batch.column(1)[lo:hi].to_pylist()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["form_a", "form_b"])
+        found = []
+        if len(group) > 1:
+            pairs(found)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["form_a", "form_b"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(a, b) for a, b in zip(*(c.to_pylist() for c in batch.columns)) if alike(a, b)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["form_a", "form_b"])
+
+    keyed = forms.select("form").mapInArrow(keys, "form string, keys array<string>").select("form", F.explode("keys").alias("key")).select(F.xxhash64("key").alias("key"), "form")
+    met = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(runs, "form_a string, form_b string").distinct()
+    near = met.mapInArrow(check, "form_a string, form_b string")
+    both = F.explode(F.array(F.struct("form_a", "form_b"), F.struct(F.col("form_b").alias("form_a"), F.col("form_a").alias("form_b"))))
+    return near.select(both.alias("x")).select("x.*").unionByName(forms.select(F.col("form").alias("form_a"), F.col("form").alias("form_b")))
+
+
 def _meet(nodes: DataFrame, given_names: GivenNames) -> DataFrame:
     """Judged pairs of nodes with surname forms that are alike: within a state, and of those without a state with all.
 
-    Nothing else is asked beforehand, so that each pair that `judge` accepts gets there."""
-    spelled = nodes.select("node", "state", "run", F.explode("forms").alias("form"))
-    forms = cut_lineage(spelled.select("form").distinct())
-    near = cut_lineage(near_forms(forms, forms))
-    left = spelled.select(F.col("node").alias("node_a"), F.col("state").alias("state_a"), "run", "form").join(near.withColumnRenamed("form_a", "form"), "form").select("node_a", "state_a", "run", "form_b").distinct()
-    right = spelled.select(F.col("node").alias("node_b"), F.col("state").alias("state_b"), "run", "form")
-    pick = ["node_a", "node_b"]
-    l2, r2 = left.where("state_a IS NOT NULL"), right.where("state_b IS NOT NULL")
-    within = l2.join(r2, (l2["run"] == r2["run"]) & (l2["state_a"] == r2["state_b"]) & (l2["form_b"] == r2["form"]) & (l2["node_a"] < r2["node_b"]))
-    l3 = left.where("state_a IS NULL")
-    across = l3.join(right, (l3["run"] == right["run"]) & (l3["form_b"] == right["form"]) & (l3["node_a"] != right["node_b"]) & (right["state_b"].isNotNull() | (l3["node_a"] < right["node_b"])))
-    met = within.select(*pick).union(across.select(*pick)).distinct()
-    named = lambda side: nodes.select(*(F.col(c).alias(f"{c}_{side}") for c in ("node", "name", "weak")))
-    pairs = met.join(named("a"), "node_a").join(named("b"), "node_b")
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "name_a", "name_b", (F.col("weak_a") | F.col("weak_b")).alias("weak"))
-    return pairs.mapInArrow(_judge_pairs(given_names), _EDGE)
+    Pairs whose given names can't begin alike, or with other suffixes or middle initials, fall out as soon as they meet;
+    whatever `judge` accepts gets there. A name goes along, so nothing is looked up afterwards."""
+    suffix, middle = F.element_at(F.split("name", r"\|"), 4), F.substring_index(F.element_at(F.split("name", r"\|"), 2), " ", 1)
+    spelled = nodes.select("node", "run", "state", F.struct("node", "name", "weak", "initials", "free", suffix.alias("suffix"), middle.alias("middle")).alias("who"), F.explode("forms").alias("form"))
+    # Spread over all tasks, however few bytes the forms are: what is made of each costs more than reading it.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = near_pairs(cut_lineage(spelled.select("form").repartition(tasks, "form").distinct()))
+    left = spelled.select("run", "state", F.col("who").alias("a"), F.col("form").alias("form_a")).join(near, "form_a").select("run", "state", "a", F.col("form_b").alias("form"))
+    right = spelled.select("run", "state", F.col("who").alias("b"), "form")
+    given = F.col("a.free") | F.col("b.free") | F.arrays_overlap("a.initials", "b.initials")
+    open_suffix = (F.col("a.suffix") == "") | (F.col("b.suffix") == "") | (F.col("a.suffix") == F.col("b.suffix"))
+    one, other = F.col("a.middle"), F.col("b.middle")
+    middles = (one == "") | (other == "") | (F.left(one, F.lit(1)) == F.left(other, F.lit(1))) | ((F.length(one) > 1) & (F.length(other) > 1))
+    likely = given & open_suffix & middles
+    pick = [F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), (F.col("a.weak") | F.col("b.weak")).alias("weak")]
+    within = left.where("state IS NOT NULL").join(right, ["run", "state", "form"]).where((F.col("a.node") < F.col("b.node")) & likely).select(*pick)
+    stateless = left.where("state IS NULL").drop("state").join(right, ["run", "form"])
+    across = stateless.where((F.col("a.node") != F.col("b.node")) & (F.col("state").isNotNull() | (F.col("a.node") < F.col("b.node"))) & likely).select(*pick)
+    return within.unionByName(across).distinct().mapInArrow(_judge_pairs(given_names), _EDGE)
 
 
 def _node_id(*columns: str) -> Column:
@@ -191,17 +269,18 @@ def _node_id(*columns: str) -> Column:
 def persons(entries: DataFrame, legislators: DataFrame) -> DataFrame:
     """(entry_no, run, person): entries with the same person mean the same one."""
     given_names = vocabulary(legislators)
-    read = entry_nodes(entries, given_names).join(entries.select(F.col("entry_no").cast("long"), F.col("parse_run").alias("run"), "districts"), "entry_no")
-    read = cut_lineage(read.withColumn("node", _node_id("run", "state", "name")))
+    read = cut_lineage(entry_nodes(entries, given_names).withColumn("node", _node_id("run", "state", "name")))
 
-    # One node for each name in a run and state. Its districts are at most those that a state has.
-    nodes = read.groupBy("node", "run", "state", "name").agg(F.first("weak").alias("weak"), F.first("forms").alias("forms"), F.array_distinct(F.flatten(F.collect_set(F.coalesce("districts", F.array().cast("array<int>"))))).alias("districts"))
+    # One node for each name in a run and state. Its districts are at most those that a state has. What the name means is
+    # read the same way from all entries, and from entries before legislators.
     people = legislators.select("id.bioguide", "name.first", "name.last", "name.official_full", "terms").mapInArrow(_legislator_nodes(given_names), _NODE)
     # Legislators meet the entries of every run; the runs are a handful.
     runs = [r[0] for r in read.select("run").distinct().collect()]
     known = people.withColumn("run", F.explode(F.array(*(F.lit(r) for r in runs)).cast("array<int>"))) if runs else people.withColumn("run", F.lit(None).cast("int"))
-    known = known.withColumn("node", _node_id("run", "state", "name")).select("node", "run", "state", "name", "weak", "forms", F.array().cast("array<int>").alias("districts"))
-    nodes = cut_lineage(nodes.withColumn("run", F.col("run").cast("int")).unionByName(known).dropDuplicates(["node"]))
+    known = known.withColumn("node", _node_id("run", "state", "name")).withColumn("districts", F.array().cast("array<int>"))
+    traits = F.min(F.struct(F.col("entry_no").isNull(), "weak", "forms", "initials", "free"))
+    nodes = read.unionByName(known).groupBy("node", "run", "state", "name").agg(traits.alias("t"), F.array_distinct(F.flatten(F.collect_set(F.coalesce("districts", F.array().cast("array<int>"))))).alias("districts"))
+    nodes = cut_lineage(nodes.select("node", "run", "state", "name", "t.weak", "t.forms", "t.initials", "t.free", "districts"))
 
     edges = cut_lineage(_meet(nodes, given_names))
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "strong", "score", "suffix_open"))

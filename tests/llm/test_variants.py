@@ -4,7 +4,8 @@ from datetime import date
 import pytest
 from pyspark.sql import Row
 
-from tallyframe.llm import graph, variants
+from tallyframe.llm import graph, names, variants
+from tallyframe.llm.names import alike
 
 ENTRY = "entry_no long, parse_run int, filer_id string, raw_names array<string>, districts array<int>, doc_ids array<string>, node string, state string, name string"
 LEG = "id struct<bioguide:string,fec:array<string>>, name struct<first:string,last:string,official_full:string>, terms array<struct<type:string,state:string,district:int,start:date>>"
@@ -80,3 +81,48 @@ def test_two_damaged_letters(spark, legislators):
         entry(4, "tx.arnold.lucy", "Lucy Arnold"), entry(5, "tx.aronld.lucy", "Lucy Aronld"), entry(6, "ut.stone.qorvunim", "Qorvunim Stone"), entry(7, "ut.stone.xorvunim", "Xorvunim Stone"),
     ]
     assert pairs(spark, legislators, rows) == [(1, 2), (1, 3), (2, 3), (4, 5), (6, 7)]
+
+
+def test_near_pairs_against_all_pairs(spark):
+    """Two-letter deletions, sorted runs across batches and tasks: the same pairs as comparing all."""
+    r = random.Random(11)
+    base = ["holviddett", "arnold", "stone", "maickuissiski", "ng", "o" * 60]
+    forms = set(base)
+    for _ in range(250):
+        w = list(r.choice(base))
+        for _ in range(r.randrange(1, 4)):
+            i = r.randrange(len(w))
+            w[i : i + 1] = r.choice([[], [w[i], r.choice("abcxyz")], [r.choice("abcxyz")], w[i : i + 2][::-1]])
+            w = w or ["x"]
+        forms.add("".join(w))
+    got = {tuple(x) for x in variants.near_pairs(spark.createDataFrame([(f,) for f in sorted(forms)], "form string").repartition(3)).collect()}
+    assert got == {(a, b) for a in forms for b in forms if a == b or alike(a, b)}
+    assert variants.near_pairs(spark.createDataFrame([], "form string")).count() == 0
+
+
+def test_hot_key(spark, monkeypatch):
+    """A run of one key that goes over many batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        forms = ["stonewall"] + [f"stonewall{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+        got = variants.near_pairs(spark.createDataFrame([(f,) for f in forms], "form string")).count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == len(forms) ** 2
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "same"),
+    [("Ann B. Stone", "Stone, Ann", True), ("I Relveeram", "Ignacio Rel Veeram", True), ("Wm. Stone", "William Q. Stonne", True), ("Ann Stone", "Bob Stone", False), ("Ann Stone", "Ann Carver", False)],
+)
+def test_alignment(a, b, same):
+    known = names.GivenNames({"ann", "bob", "ignacio", "william"}, {})
+    read = lambda x: names.read_name(x, "", None, known) if "," in x else names.read_name(*x.rsplit(" ", 2 if "Rel " in x else 1)[:1], " ".join(x.rsplit(" ", 2 if "Rel " in x else 1)[1:]), None, known)
+    cost = names.align(read(a), read(b))
+    assert (cost <= names.ALIGNED) == same and cost == pytest.approx(names.align(read(b), read(a)))
+
+
+def test_persons_are_the_classes_of_the_pairs(spark, legislators):
+    rows = [entry(1, "ca.relveeram.ignacio", "Ignacio Relveeram"), entry(2, "ca.relveeran.ignacio", "Ignacio Relveeran"), entry(3, "ca.stone.ann", "Ann Stone")]
+    who = {r.entry_no: r.person for r in variants.persons(spark.createDataFrame(rows, ENTRY), legislators).collect()}
+    assert who[1] == who[2] != who[3]

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def strip_unicode(c: Column) -> Column:
@@ -41,15 +39,18 @@ def fold_accents(text: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in texts:
-        yield s.map(fold_accents, na_action="ignore")
+@cache
+def _base_letters() -> tuple[str, str]:
+    """Letters of the basic plane that decompose into one other letter with or without marks, and that letter."""
+    pairs = [(ch, base) for ch in map(chr, [*range(0xA0, 0xD800), *range(0xE000, 0x10000)]) if (base := fold_accents(ch)) != ch and len(base) == 1]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
 def unaccent(c: Column) -> Column:
-    """NFKD without combining marks. ASCII values (nearly all) never leave the JVM's result: only the rest differ."""
-    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(_nfkd(c))
+    """NFKD without combining marks, in generated code: letters are translated, marks of their own taken off.
+
+    What decomposes into several letters (ligatures, Hangul syllables) stays as it is."""
+    return F.regexp_replace(F.translate(c, *_base_letters()), r"\p{Mn}+", "")
 
 
 def norm_name(c: Column) -> Column:

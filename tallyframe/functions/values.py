@@ -117,11 +117,6 @@ def transaction_kind(c: Column) -> Column:
     return F.when(F.lower(c).contains("(partial)"), "S(partial)").otherwise(F.upper(F.left(F.trim(c), F.lit(1))))
 
 
-def checkbox(glyph: Column, empty: str, ticked: str) -> Column:
-    """A tri-state boolean: unknown where there is no glyph."""
-    return F.when(glyph == ticked, True).when(glyph == empty, False)
-
-
 def cycle_of(year: Column) -> Column:
     """The even year that a year's money belongs to."""
     return year + F.pmod(year, F.lit(2))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.text import strip_unicode
+from tallyframe.session import ship
 
 # Numbers of one producer that share a block form one group, so that no producer's numbers gather in one task.
 BLOCK_BITS = 12
@@ -154,6 +155,7 @@ def fold_ranges(known: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     The fold runs twice: within each input partition, where all but the first delivery of a number fall out, and then
     per producer and block. So a number that a third of the rows carry sends one row of each partition through the
     shuffle; surplus rows are spread by their row id instead of their producer."""
+    ship(known.sparkSession)
     order = [*_PRODUCER, "state", F.col("at").asc_nulls_last(), "row"]
     local = known.sortWithinPartitions(*order).mapInArrow(_fold, _FOLD).where("state < 3")
     if seen is not None:

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tallyframe import types as kinds
 from tallyframe.operators import columns as C
 from tallyframe.operators import lines as L
+from tallyframe.session import ship
 
 _DOC = "doc_id"
 
@@ -143,6 +144,7 @@ class ReportReader:
 
 def _read(docs: DataFrame, fields: list[T.StructField], each) -> DataFrame:
     """One pass over (doc_id, text): each(text) gives rows of the fields."""
+    ship(docs.sparkSession)
     key = docs.schema[_DOC]
     arrow = [_arrow(f.dataType) for f in fields]
 

@@ -56,22 +56,41 @@ def full_name(filer: Column) -> Column:
 
 
 def identity_warnings(reasoned: DataFrame, order: str = "row_no") -> DataFrame:
-    """(filer_id, reason, raw_names, doc_ids, districts) of each unmatched filer: the reason that matters most, names as
-    first seen, documents in order, districts sorted."""
+    """(filer_id, reason, raw_names, districts, documents, first_seen) of each unmatched filer: the reason that matters
+    most, names as first seen, districts sorted, and how many documents `warning_documents` lists.
+
+    A filer's names and districts are few; its documents aren't, so they are a table of their own."""
     rank = F.array_position(F.array(*map(F.lit, kinds.IDENTITY_PRIORITY)), F.col("reason"))
     # Names are reduced to one row each before they are gathered: a filer has few spellings, however many filings.
     named = reasoned.groupBy("filer_id", full_name(F.col("filer")).alias("raw_name")).agg(
-        F.min(order).alias("seen"), F.min(rank).alias("rank"), F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("doc_id")))).alias("docs"), F.collect_set("state_district.district").alias("districts")
+        F.min(order).alias("seen"), F.min(rank).alias("rank"), F.count("*").alias("documents"), F.collect_set("state_district.district").alias("districts")
     )
     out = named.groupBy("filer_id").agg(
         F.min("rank").alias("rank"),
         F.transform(F.sort_array(F.collect_list(F.struct("seen", "raw_name"))), lambda x: x["raw_name"]).alias("raw_names"),
-        F.transform(F.sort_array(F.flatten(F.collect_list("docs"))), lambda x: x["doc_id"]).alias("doc_ids"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("districts")))).alias("districts"),
+        F.sum("documents").alias("documents"),
         F.min("seen").alias("first_seen"),
     )
     reason = F.element_at(F.array(*map(F.lit, kinds.IDENTITY_PRIORITY)), F.col("rank").cast("int"))
-    return out.select("filer_id", reason.alias("reason"), "raw_names", "doc_ids", "districts", "first_seen")
+    return out.select("filer_id", reason.alias("reason"), "raw_names", "districts", "documents", "first_seen")
+
+
+def warning_documents(reasoned: DataFrame, order: str = "row_no") -> DataFrame:
+    """(filer_id, doc_id, order, reason): the documents of unmatched filers, to be joined by filer_id."""
+    return reasoned.select("filer_id", "doc_id", order, "reason")
+
+
+SHOWN_HOLDERS = 4
+
+
+def report(warnings: DataFrame, reasoned: DataFrame, legislators: DataFrame) -> DataFrame:
+    """(filer_id, reason, names, documents, holders): what a reader is told of each unmatched filer. holders: who held the
+    seats that the filer names, at most SHOWN_HOLDERS of them."""
+    named = reasoned.select("filer_id", F.upper("state_district.state").alias("state"), F.col("state_district.district").alias("district")).distinct()
+    held = named.join(seat_holders(legislators).select("state", "district", F.explode("holders").alias("h")), ["state", "district"])
+    shown = held.groupBy("filer_id").agg(F.slice(F.sort_array(F.collect_set("h.bioguide")), 1, SHOWN_HOLDERS).alias("holders"))
+    return warnings.join(shown, "filer_id", "left").select("filer_id", "reason", F.concat_ws("; ", "raw_names").alias("names"), "documents", F.concat_ws(", ", "holders").alias("holders"))
 
 
 def match_summary(matched: DataFrame, warnings: DataFrame) -> DataFrame:

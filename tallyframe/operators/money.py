@@ -82,7 +82,7 @@ def donors(contributions: DataFrame, committee: DataFrame, recipients: DataFrame
     """(organization, organization_type, total, n_contributions): who gave to the recipients, greatest first.
 
     The type of an organisation is that of its first contribution; it isn't part of the key. Both tables have `cycle`."""
-    given = contributions.join(recipients, "recipient_committee_id", "left_semi")
+    given = contributions.select("cycle", "row", "contributor_committee_id", "recipient_committee_id", "amount").join(recipients, "recipient_committee_id", "left_semi")
     by = committee.select("cycle", F.col("committee_id").alias("contributor_committee_id"), "organization_type", values.org_key(F.col("connected_organization_name"), F.col("name")).alias("organization"))
     joined = given.join(by, ["cycle", "contributor_committee_id"])
     if organisation_type:

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.session import ship
+
 # schedule and item_no: the schedule that holds a node, and the number in it of the item that the node is or lies in.
 NODE_SCHEMA = T.StructType(
     [
@@ -383,6 +385,7 @@ def interval_nodes(bodies: DataFrame, body_id: str, body: str, kinds: tuple[str,
     scalar fields. letters: the schedules wanted, all if null. item_amount: an amount field that items carry in
     low, high, exact and text. All nodes are numbered whatever is given out. One pass
     without a shuffle."""
+    ship(bodies.sparkSession)
     wanted = set(kinds)
     read = wanted | {"schedule", "item"}
     only = None if letters is None else frozenset(letters)

@@ -41,9 +41,3 @@ def amount_violations(amounts: DataFrame) -> DataFrame:
 
 def counts(violations: DataFrame) -> DataFrame:
     return violations.groupBy("invariant").agg(F.count("*").alias("n"))
-
-
-def quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep a rule, rows that break it); a null verdict breaks it."""
-    verdict = F.coalesce(ok, F.lit(False))
-    return df.where(verdict), df.where(~verdict)

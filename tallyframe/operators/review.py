@@ -11,7 +11,7 @@ from tallyframe.operators.predicates import reviewable
 
 
 def select(filings: DataFrame, sample: float, seed: str = "0") -> DataFrame:
-    """`ceil(sample * n)` filings of each stratum, those with the smallest hash of their doc_id, in order of doc_id.
+    """`ceil(sample * n)` filings of each stratum, those with the smallest hash of their doc_id; a part of them in order.
 
     A larger sample of the same seed holds the smaller one. sample <= 0 is empty, >= 1 is all. The size of a stratum comes
     from a count joined by value; only rows that can be among the chosen go through the ranking."""
@@ -19,7 +19,7 @@ def select(filings: DataFrame, sample: float, seed: str = "0") -> DataFrame:
     if sample <= 0:
         return rows.limit(0)
     if sample >= 1:
-        return rows.orderBy("doc_id")
+        return rows
     sizes = rows.groupBy("stratum").agg(F.count("*").alias("n")).withColumn("take", F.ceil(F.lit(sample) * F.col("n")))
     keyed = rows.join(F.broadcast(sizes), "stratum").withColumn("u", values.sample_digits(F.col("doc_id"), seed))  # a row for each stratum
     # By the law of large numbers the chosen lie below this bound; where they don't, all rows take part (exact either way).

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import values
 from tallyframe.functions.text import name_key
-from tallyframe.operators import directory, identity, lines, quality, residuals, reshape, review
+from tallyframe.operators import directory, identity, lines, nested, quality, residuals, reshape, review
 from tallyframe.operators.predicates import FilingFilter, HoldingFilter, TradeFilter
 from tallyframe.plans import answers
+from tallyframe.plans.core_queries import ORACLE as CORE
 from tallyframe.session import table
 
 _SINCE, _UNTIL = date(2019, 1, 1), date(2022, 12, 31)
@@ -105,7 +106,16 @@ def _reasoned(spark: SparkSession, d: str) -> DataFrame:
 
 def identity_warnings(spark: SparkSession, d: str) -> DataFrame:
     w = identity.identity_warnings(_reasoned(spark, d))
-    return w.select("filer_id", "reason", F.concat_ws("|", "raw_names").alias("raw_names"), F.concat_ws(",", "doc_ids").alias("doc_ids"), F.concat_ws(",", F.col("districts").cast("array<string>")).alias("districts"))
+    return w.select("filer_id", "reason", F.concat_ws("|", "raw_names").alias("raw_names"), "documents", F.concat_ws(",", F.col("districts").cast("array<string>")).alias("districts"))
+
+
+def warning_documents(spark: SparkSession, d: str) -> DataFrame:
+    return identity.warning_documents(_reasoned(spark, d))
+
+
+def identity_report(spark: SparkSession, d: str) -> DataFrame:
+    reasoned = _reasoned(spark, d)
+    return identity.report(identity.identity_warnings(reasoned), reasoned, table(spark, d, "legislators_current"))
 
 
 def match_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +155,8 @@ def _labels(filings: DataFrame) -> DataFrame:
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
     rows = reshape.current_filings(table(spark, d, "filings")).where("trim(doc_id) <> ''")
-    chosen = review.select(rows.drop("snapshot"), 1.0).dropDuplicates(["doc_id"])
+    one = rows.groupBy("doc_id").agg(F.max("row_no").alias("row_no"))  # the entry loaded last of each document
+    chosen = review.select(rows.drop("snapshot").join(one.select("row_no"), "row_no", "left_semi"), 1.0)
     return review.with_labels(chosen, _labels(chosen), F.sha2(F.concat_ws("|", "doc_id", "filer_id"), 256))
 
 
@@ -177,7 +188,25 @@ def calendar_fold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def invariants(spark: SparkSession, d: str) -> DataFrame:
-    return quality.counts(quality.ptr_violations(_flat(spark, d)))
+    """Violations among trades of which some were damaged: codes and symbols in lower case, both a date and its raw text,
+    bounds the wrong way round."""
+    t = F.col("transaction")
+    owner = t["owner"]
+    worse = t.withField("asset_type", F.when(owner == "SP", F.lower(t["asset_type"])).otherwise(t["asset_type"])).withField("ticker", F.when(owner == "JT", F.lower(t["ticker"])).otherwise(t["ticker"]))
+    worse = worse.withField("date_raw", F.when(owner == "DC", F.lit("02/30/2020")).otherwise(t["date_raw"])).withField("amount_range", F.when(owner == "DC", t["amount_range"].withField("low", t["amount_range"]["high"] + 1)).otherwise(t["amount_range"]))
+    return quality.counts(quality.ptr_violations(_flat(spark, d).withColumn("transaction", worse)))
+
+
+def schedule_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts of annual reports that are neither a range nor exact, by schedule and field."""
+    amounts = nested.line_amounts(table(spark, d, "fd"), table(spark, d, "ptr"))
+    return quality.amount_violations(amounts).groupBy("schedule", "field").agg(F.count("*").alias("n"))
+
+
+def review_residual(spark: SparkSession, d: str) -> DataFrame:
+    """What the scorecard of a sample is silent on."""
+    filings = reshape.current_filings(table(spark, d, "filings")).where("trim(doc_id) <> ''")
+    return review.review_residual(filings, review.select(filings, 0.5).dropDuplicates(["doc_id"]), _labels(filings).dropDuplicates(["doc_id"]))
 
 
 def classify_text(spark: SparkSession, d: str) -> DataFrame:
@@ -205,8 +234,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         filings_filter, type_family, point_lookup, filing_detail, trades, trades_by_ticker, null_ticker_blindspot, bucket_low, holdings, year_summary, type_counts,
-        residual_counts, unparsed_reasons, identity_ladder, identity_warnings, match_summary, seat_holders, name_keys, seat_parse, stratified_sample, scorecard,
-        snapshot_stale, reference_search, member_links, ticker_extract, calendar_fold, invariants, classify_text, line_items, set_ops,
+        residual_counts, unparsed_reasons, identity_ladder, identity_warnings, warning_documents, identity_report, match_summary, seat_holders, name_keys, seat_parse, stratified_sample, scorecard,
+        snapshot_stale, reference_search, member_links, ticker_extract, calendar_fold, invariants, schedule_invariants, review_residual, classify_text, line_items, set_ops,
     )
 }
 
@@ -243,14 +272,14 @@ reasoned AS (SELECT m.*, CASE WHEN m.filing_type.code = 'C' THEN 'candidate' WHE
   concat_ws(' ', nullif(m.filer.first, ''), nullif(m.filer.last, ''), nullif(m.filer.suffix, '')) AS raw_name
   FROM matched m LEFT JOIN held h ON upper(m.state_district.state) = h.state AND m.state_district.district = h.district WHERE m.bioguide_id IS NULL),
 rank(reason, r) AS (VALUES ('suspicious', 1), ('ambiguous_seat', 2), ('unknown_seat', 3), ('candidate', 4), ('no_district', 5)),
-warn AS (SELECT filer_id, arg_min(reason, r) AS reason, string_agg(doc_id, ',' ORDER BY row_no) AS doc_ids,
+warn AS (SELECT filer_id, arg_min(reason, r) AS reason, count(*) AS documents,
   coalesce(array_to_string(list_sort(list_distinct(list(state_district.district) FILTER (state_district.district IS NOT NULL))), ','), '') AS districts FROM reasoned JOIN rank USING (reason) GROUP BY 1),
 nm AS (SELECT filer_id, string_agg(raw_name, '|' ORDER BY seen) AS raw_names FROM (SELECT filer_id, raw_name, min(row_no) AS seen FROM reasoned GROUP BY 1, 2) GROUP BY 1)"""
 )
 _SAMPLE = """one AS (SELECT * FROM cur WHERE trim(coalesce(doc_id, '')) <> '' AND parse_status = 'ok')"""
 _LABELLED = f"""{CURRENT},
-chosen AS (SELECT DISTINCT ON (doc_id) doc_id, filer_id, coalesce(nullif(pdf_class, ''), 'unknown') AS pdf_class, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family
-  FROM cur WHERE trim(coalesce(doc_id, '')) <> '' AND parse_status = 'ok'),
+chosen AS (SELECT doc_id, filer_id, coalesce(nullif(pdf_class, ''), 'unknown') AS pdf_class, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family
+  FROM (SELECT * FROM cur WHERE trim(coalesce(doc_id, '')) <> '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY row_no DESC) = 1) WHERE parse_status = 'ok'),
 digit AS (SELECT *, ('0x' || substr(sha256(doc_id), 1, 2))::INTEGER AS g FROM chosen),
 lab AS (SELECT *, CASE WHEN g < 200 THEN CASE WHEN g % 11 = 0 THEN 'old' ELSE sha256(concat_ws('|', doc_id, filer_id)) END END AS snapshot, sha256(concat_ws('|', doc_id, filer_id)) AS cur_snap FROM digit),
 fresh AS (SELECT *, snapshot IS NOT NULL AND snapshot <> cur_snap AS stale, snapshot IS NOT NULL AND snapshot = cur_snap AS fresh FROM lab)"""
@@ -296,7 +325,11 @@ WHERE coalesce(f.filing_type.code, '') <> 'P' AND contains(lower(n.x ->> '$.asse
     "residual_counts": "SELECT count(*) FILTER (pdf_class = 'efiled' AND filing_type.code = 'P') AS efiled_ptr, count(*) FILTER (pdf_class = 'efiled' AND coalesce(filing_type.code, '') <> 'P') AS efiled_other FROM filings",
     "unparsed_reasons": """SELECT r.reason, count(u.reason) AS n FROM (VALUES ('scanned'), ('missing'), ('extract_failed'), ('unknown_type'), ('date_out_of_range'), ('schedule_incomplete')) r(reason) LEFT JOIN unparsed_manifest u USING (reason) GROUP BY 1""",
     "identity_ladder": f"""WITH {SEATS} SELECT row_no, seat_bioguide, ambiguous, coalesce('bioguide:' || nullif(seat_bioguide, ''), 'name:' || {KEY}) AS built_id FROM matched""",
-    "identity_warnings": f"""WITH {_REASONED} SELECT filer_id, reason, raw_names, doc_ids, districts FROM warn JOIN nm USING (filer_id)""",
+    "identity_warnings": f"""WITH {_REASONED} SELECT filer_id, reason, raw_names, documents, districts FROM warn JOIN nm USING (filer_id)""",
+    "warning_documents": f"WITH {_REASONED} SELECT filer_id, doc_id, row_no, reason FROM reasoned",
+    "identity_report": f"""WITH {_REASONED}, h AS (SELECT DISTINCT filer_id, bioguide FROM reasoned JOIN seat ON upper(state_district.state) = seat.state AND state_district.district = seat.district),
+hs AS (SELECT filer_id, array_to_string(list_slice(list_sort(list(bioguide)), 1, 4), ', ') AS holders FROM h GROUP BY 1)
+SELECT filer_id, reason, replace(raw_names, '|', '; ') AS names, documents, coalesce(holders, '') AS holders FROM warn JOIN nm USING (filer_id) LEFT JOIN hs USING (filer_id)""",
     "match_summary": f"""WITH {_REASONED} SELECT (SELECT count(DISTINCT bioguide_id) FROM filings) AS matched, count(*) AS unmatched, count(*) FILTER (reason = 'candidate') AS candidate, count(*) FILTER (reason = 'no_district') AS no_district,
 count(*) FILTER (reason = 'unknown_seat') AS unknown_seat, count(*) FILTER (reason = 'ambiguous_seat') AS ambiguous_seat, count(*) FILTER (reason = 'suspicious') AS suspicious FROM warn""",
     "seat_holders": f"""WITH {SEATS} SELECT state, district, string_agg(DISTINCT bioguide, ',' ORDER BY bioguide) AS holders FROM seat GROUP BY ALL""",
@@ -316,12 +349,17 @@ UNION ALL SELECT id.bioguide, NULL, 'no_fec_id' FROM legislators_current WHERE i
 SELECT body_id, item, nullif(upper(trim(coalesce(nullif(regexp_extract(t.asset, '\(([^()]+)\)\s*\[[^\[\]]+\]', 1), ''), regexp_extract_all(t.asset, '\(([^()]+)\)', 1)[-1]))), '') AS ticker,
 nullif(upper(trim(regexp_extract(t.asset, '\[([^\[\]]+)\]', 1))), '') AS asset_type, CASE WHEN contains(lower(t.transaction_type), '(partial)') THEN 'S(partial)' ELSE upper(left(trim(t.transaction_type), 1)) END AS kind FROM t""",
     "calendar_fold": "SELECT DISTINCT coverage_year AS year, coverage_year + coverage_year % 2 AS cycle, CAST((coverage_year - 1789) // 2 + 1 AS INTEGER) AS congress FROM filings",
-    "invariants": f"""WITH {_FLAT} SELECT invariant, count(*) AS n FROM (
-SELECT 'asset_type_normalised' AS invariant FROM flat WHERE t.asset_type IS NOT NULL AND t.asset_type <> upper(trim(t.asset_type))
-UNION ALL SELECT 'ticker_upper' FROM flat WHERE t.ticker IS NOT NULL AND (t.ticker <> upper(t.ticker) OR trim(t.ticker) = '')
-UNION ALL SELECT 'date_or_raw' FROM flat WHERE t.transaction_date IS NOT NULL AND t.date_raw IS NOT NULL
-UNION ALL SELECT 'amount_shape' FROM flat WHERE t.amount_range IS NOT NULL AND NOT coalesce((t.amount_range.low IS NOT NULL AND t.amount_range.high IS NOT NULL AND t.amount_range.exact IS NULL AND t.amount_range.low <= t.amount_range.high)
-  OR (t.amount_range.low IS NULL AND t.amount_range.high IS NULL AND t.amount_range.exact IS NOT NULL), false)) GROUP BY 1""",
+    "invariants": f"""WITH {_FLAT}, w AS (SELECT doc_id, CASE WHEN t.owner = 'SP' THEN lower(t.asset_type) ELSE t.asset_type END AS asset_type, CASE WHEN t.owner = 'JT' THEN lower(t.ticker) ELSE t.ticker END AS ticker, t.transaction_date AS day,
+  CASE WHEN t.owner = 'DC' THEN '02/30/2020' ELSE t.date_raw END AS raw, t.amount_range IS NOT NULL AS has, CASE WHEN t.owner = 'DC' THEN t.amount_range.high + 1 ELSE t.amount_range.low END AS low, t.amount_range.high AS high, t.amount_range.exact AS exact FROM flat)
+SELECT invariant, count(*) AS n FROM (
+SELECT 'asset_type_normalised' AS invariant FROM w WHERE asset_type IS NOT NULL AND asset_type <> upper(trim(asset_type))
+UNION ALL SELECT 'ticker_upper' FROM w WHERE ticker IS NOT NULL AND (ticker <> upper(ticker) OR trim(ticker) = '')
+UNION ALL SELECT 'date_or_raw' FROM w WHERE day IS NOT NULL AND raw IS NOT NULL
+UNION ALL SELECT 'amount_shape' FROM w WHERE has AND NOT coalesce((low IS NOT NULL AND high IS NOT NULL AND exact IS NULL AND low <= high) OR (low IS NULL AND high IS NULL AND exact IS NOT NULL), false)) GROUP BY 1""",
+    "schedule_invariants": f"""SELECT schedule, field, count(*) AS n FROM ({CORE["p4_amounts"]}) WHERE NOT coalesce((low IS NOT NULL AND high IS NOT NULL AND exact IS NULL AND low <= high) OR (low IS NULL AND high IS NULL AND exact IS NOT NULL), false) GROUP BY ALL""",
+    "review_residual": f"""WITH {CURRENT}, f AS (SELECT * FROM cur WHERE trim(coalesce(doc_id, '')) <> ''), one AS (SELECT *, coalesce(nullif(pdf_class, ''), 'unknown') AS pc, CASE WHEN filing_type.code = 'P' THEN 'ptr' ELSE 'other' END AS family FROM f WHERE parse_status = 'ok'),
+r AS (SELECT *, row_number() OVER (PARTITION BY pc, family ORDER BY substr(sha256('0:' || doc_id), 1, 16), doc_id) AS k, count(*) OVER (PARTITION BY pc, family) AS n FROM one), chosen AS (SELECT DISTINCT doc_id FROM r WHERE k <= ceil(0.5 * n))
+SELECT (SELECT count(*) FROM f) AS filings, (SELECT count(*) FROM f WHERE coalesce(parse_status, '') <> 'ok') AS not_reviewable, count(*) AS selected, count(*) FILTER (('0x' || substr(sha256(doc_id), 1, 2))::INTEGER >= 200) AS unlabelled FROM chosen""",
     "set_ops": """WITH l AS (SELECT DISTINCT doc_id FROM unparsed_manifest WHERE trim(coalesce(doc_id, '')) <> ''), f AS (SELECT DISTINCT doc_id FROM filings WHERE trim(coalesce(doc_id, '')) <> '')
 SELECT doc_id, 'filed' AS side FROM (SELECT * FROM l INTERSECT SELECT * FROM f) UNION ALL SELECT doc_id, 'missing' FROM (SELECT * FROM l EXCEPT SELECT * FROM f)""",
     "classify_text": r"""SELECT doc_id, CAST(length(regexp_replace(text, '[\s\x{0B}\x{85}\p{Z}]', '', 'g')) AS INTEGER) AS chars,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +10,9 @@ from tallyframe.session import shared_dir, table
 from tallyframe.sources import files
 
 
-def _folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}"
+def _folder(spark: SparkSession, name: str) -> str:
+    """One folder below the shared one for each scan of an application; the next run of the scan replaces its files."""
+    return f"{shared_dir(spark)}/scan-{spark.sparkContext.applicationId}-{name}"
 
 
 def xml_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -24,23 +23,23 @@ def xml_scan(spark: SparkSession, d: str) -> DataFrame:
         text(F.col("filer.prefix")).alias("Prefix"), text(F.col("filer.last")).alias("Last"), text(F.col("filer.first")).alias("First"), text(F.col("filer.suffix")).alias("Suffix"),
         text(F.col("filing_type.code")).alias("FilingType"), text(F.col("state_district.raw")).alias("StateDst"), text(F.col("coverage_year")).alias("Year"), text(day).alias("FilingDate"), text(F.col("doc_id")).alias("DocID"),
     )
-    path = _folder(spark)
-    entries.write.option("rootTag", "FinancialDisclosure").option("rowTag", "Member").xml(path)
+    path = _folder(spark, "xml")
+    entries.write.mode("overwrite").option("rootTag", "FinancialDisclosure").option("rowTag", "Member").xml(path)
     back = files.filings_from_index(files.index_entries(spark, path), 2024, 2030)
     return back.select("doc_id", F.trim("filer.last").alias("last"), F.col("filing_type.label").alias("label"), F.col("state_district.district").alias("district"), "filing_date")
 
 
 def csv_scan(spark: SparkSession, d: str) -> DataFrame:
     ie = table(spark, d, "independent_expenditure_2024")
-    path = _folder(spark)
-    ie.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in IE_COLUMNS)).write.option("header", True).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    path = _folder(spark, "csv")
+    ie.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in IE_COLUMNS)).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return files.headed_csv(spark, path, IE_COLUMNS).groupBy("can_office", "short").agg(F.count("*").alias("n"), F.count_distinct("spe_nam").alias("spenders"))
 
 
 def pipe_scan(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
-    path = _folder(spark)
-    s.select(F.concat_ws("|", F.col("s_suppkey").cast("string"), "s_name", F.lit(""), F.col("s_nationkey").cast("string"))).write.text(path)
+    path = _folder(spark, "pipe")
+    s.select(F.concat_ws("|", F.col("s_suppkey").cast("string"), "s_name", F.lit(""), F.col("s_nationkey").cast("string"))).write.mode("overwrite").text(path)
     c = F.col("cols")
     return files.pipe_rows(spark, f"{path}/*.txt").select(c[0].alias("id"), c[1].alias("name"), c[3].alias("nation"), F.size(c).alias("n_cols"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -11,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the workers, once for each context, wherever they and the driver were started."""
+    """Sends this package to the workers, once for each context, wherever they and the driver were started.
+
+    Each operator whose code runs on the workers calls it first."""
     sc = spark.sparkContext
     if getattr(sc, "_tallyframe_shipped", False):
         return
@@ -33,12 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from `spark.checkpoint.dir`.
 
-    A folder of our own is made only where the setting is absent (tests on one machine)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    Where the setting is absent, a session on one machine gets a folder there; a cluster is refused, as no folder of one
+    of its machines would do."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tallyframe-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared)
@@ -47,6 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Materialise `df` in the shared folder, so that the loss of an executor loses no data."""
+    ship(df.sparkSession)
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)
 
@@ -61,6 +65,7 @@ def local_session(app: str = "tallyframe", cores: str = "*", shuffle_partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyframe-checkpoint-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

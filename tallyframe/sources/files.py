@@ -5,18 +5,24 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe import types as kinds
 from tallyframe.functions import values
-from tallyframe.functions.text import strip_unicode
+from tallyframe.functions.text import contains_ci, strip_unicode
+from tallyframe.operators.rowcheck import IE_COLUMNS
+from tallyframe.session import ship
 
 # The elements of an index entry.
 INDEX_FIELDS = ("Prefix", "Last", "First", "Suffix", "FilingType", "StateDst", "Year", "FilingDate", "DocID")
+# The columns of the headed file of independent expenditures.
+EXPENDITURE_COLUMNS = IE_COLUMNS
 # Line ends as they occur in the bulk files, once decoded.
 LINE_ENDS = r"\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085]"
 
@@ -43,33 +49,41 @@ def filings_from_index(entries: DataFrame, year: int, latest_year: int) -> DataF
     )
 
 
-def targets(entries: DataFrame) -> DataFrame:
-    """(doc_id, code, year) of the documents to fetch."""
-    return entries.where("DocID <> ''").select(F.col("DocID").alias("doc_id"), F.col("FilingType").alias("code"), F.expr("try_cast(Year AS INT)").alias("year"))
+def targets(entries: DataFrame, doc_ids: DataFrame | None = None, member: str | None = None) -> DataFrame:
+    """(doc_id, code, year) of the documents to fetch: all, those listed (doc_id), or those of filers whose name holds a text."""
+    wanted = entries.where("DocID <> ''")
+    if member:
+        wanted = wanted.where(contains_ci(F.concat_ws(" ", "Prefix", "First", "Last", "Suffix"), member))
+    out = wanted.select(F.col("DocID").alias("doc_id"), F.col("FilingType").alias("code"), F.expr("try_cast(Year AS INT)").alias("year"))
+    return out if doc_ids is None else out.join(doc_ids.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
-def pipe_rows(spark: SparkSession, path: str) -> DataFrame:
-    """(cols, row) of Latin-1 files with `|` between fields, without header or quoting; blank lines are skipped.
+def content_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size, sha256) of files, for the record of what was fetched."""
+    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
-    `row` orders the rows of one file as they stand in it."""
-    raw = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "ISO-8859-1").alias("text"))
-    lines = raw.select("path", F.posexplode(F.split("text", LINE_ENDS)).alias("row", "line")).where("trim(line) <> ''")
-    return lines.select(F.split("line", r"\|", -1).alias("cols"), F.col("row").cast("long"))
 
+def pipe_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(cols, row) of Latin-1 files with `|` between fields, without header or quoting; blank lines are skipped.
 
-def pipe_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(cols) of large Latin-1 files split at line feeds, so that one file is read by many tasks; no row order."""
-    raw = spark.read.format("text").load(path)
+    A large file is read by many tasks. `row` orders the rows of one file as they stand in it: the place of the part that a
+    task reads, the line within what the task reads, and the piece of a line with rarer line ends."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("start"))
     line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")  # the text source keeps the bytes as they are
-    return raw.where("trim(value) <> ''").select(F.split(line, r"\|", -1).alias("cols"))
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit(2**30 - 1))
+    parts = raw.select("start", within.alias("within"), F.posexplode(F.split(line, LINE_ENDS)).alias("piece", "line")).where("trim(line) <> ''")
+    row = F.shiftleft(F.shiftright("start", 16), 36) + F.shiftleft("within", 6) + F.least("piece", F.lit(63))
+    return parts.select(F.split("line", r"\|", -1).alias("cols"), row.cast("long").alias("row"))
 
 
-def headed_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Text columns of CSV files by header name, quoted commas and line ends included; missing columns are empty,
-    rows with too few cells have `short` set."""
-    header = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
+def headed_csv(spark: SparkSession, path: str, columns: list[str], line_ends_in_cells: bool = False) -> DataFrame:
+    """Text columns of CSV files by header name, quoted commas included; missing columns are empty, rows with too few cells
+    have `short` set. Large files are read by many tasks, unless cells may hold line ends."""
+    reader = lambda: spark.read.option("header", True).option("multiLine", line_ends_in_cells).option("escape", '"')
+    header = reader().csv(path).columns
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in header), T.StructField("_corrupt", T.StringType())])
-    raw = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", "_corrupt").csv(path)
+    # Without pruning, as a parser that reads some cells only can't tell that others are missing.
+    raw = reader().schema(schema).option("columnPruning", False).option("columnNameOfCorruptRecord", "_corrupt").csv(path)
     last = F.col(header[-1])
     short = F.col("_corrupt").isNotNull() & last.isNull()
     return raw.select(*(F.col(c) if c in header else F.lit("").alias(c) for c in columns), short.alias("short"))
@@ -86,13 +100,32 @@ def body_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return raw.select(F.regexp_replace("file", r"\.json$", "").alias("doc_id"), F.from_json("value", schema).alias("body"))
 
 
-def legislators(spark: SparkSession, *paths: str) -> DataFrame:
-    """Current and historical legislators as one table; `part` keeps the order of the files."""
-    parts = [json_array(spark, p, kinds.LEGISLATORS).withColumn("part", F.lit(i)) for i, p in enumerate(paths)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def legislators(spark: SparkSession, *paths: str) -> tuple[DataFrame, bool]:
+    """(current and historical legislators as one table, whether any file was found).
+
+    `part` keeps the order of the files. A file that is absent or no JSON is skipped."""
+    parts = []
+    for i, path in enumerate(paths):
+        try:
+            one = json_array(spark, path, kinds.LEGISLATORS).where("id.bioguide IS NOT NULL").withColumn("part", F.lit(i))
+            if not one.isEmpty():
+                parts.append(one)
+        except AnalysisException:
+            continue
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*kinds.LEGISLATORS, T.StructField("part", T.IntegerType())])), False
+    return reduce(DataFrame.unionByName, parts), True
+
+
+def committees(spark: SparkSession, definitions: str, membership: str) -> tuple[DataFrame, DataFrame]:
+    """(definitions, membership): one is of no use without the other, so both must be there."""
+    found = []
+    for path, read in ((definitions, lambda p: json_array(spark, p, kinds.COMMITTEE_DEFINITIONS)), (membership, lambda p: membership_map(spark, p))):
+        try:
+            found.append(read(path))
+        except AnalysisException:
+            raise LookupError(f"no committees without {path}") from None
+    return found[0], found[1]
 
 
 def membership_map(spark: SparkSession, path: str) -> DataFrame:
@@ -110,6 +143,7 @@ def page_lines(spark: SparkSession, path: str, decode: Callable[[bytes], list[st
     """(doc_id, line_no, line, problem) of documents, by a decoder from bytes to text lines.
 
     No PDF library is needed here: the decoder is the caller's. What it raises is kept as `problem`."""
+    ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-FIRST_YEAR, FIRST_PTR_YEAR = 2008, 2012
+FIRST_YEAR = 2008
 
 
 class BadRange(ValueError):
@@ -31,10 +31,6 @@ def cycles(wanted: Iterable[int]) -> list[int]:
     return sorted({y + y % 2 for y in wanted})
 
 
-def before_transaction_reports(wanted: Iterable[int]) -> list[int]:
-    return [y for y in wanted if y < FIRST_PTR_YEAR]
-
-
 def families(text: str | None) -> set[str] | None:
     """`ptr`, `fd` or both; nothing means both."""
     if not text:
@@ -45,10 +41,10 @@ def families(text: str | None) -> set[str] | None:
     return found
 
 
-def bulk_name(stem: str, cycle: int) -> str:
-    """`cm24.zip` of a cycle's bulk files."""
-    return f"{stem}{cycle % 100:02d}.zip"
+# The bulk files of a cycle, of which only the last one's name has the year in full.
+BULK_FILES = {"master": "cm{0:02d}.zip", "linkage": "ccl{0:02d}.zip", "contributions": "pas2{0:02d}.zip", "expenditures": "independent_expenditure_{1}.csv"}
 
 
-def expenditure_name(cycle: int) -> str:
-    return f"independent_expenditure_{cycle}.csv"
+def bulk_name(what: str, cycle: int) -> str:
+    """`cm24.zip` and the like: the name of a cycle's bulk file."""
+    return BULK_FILES[what].format(cycle % 100, cycle)

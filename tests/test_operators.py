@@ -5,6 +5,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tallyframe import types as kinds
+from tallyframe.functions import text
 from tallyframe.operators import directory, identity, lines, money, predicates, quality, residuals, reshape, review
 from tallyframe.plans import answers
 
@@ -61,7 +62,7 @@ def test_seat_ladder(spark, filings, legislators):
     reasons = {r.row_no: r.reason for r in reasoned.collect()}
     assert reasons[1] == "ambiguous_seat" and reasons[4] == "suspicious" and reasons[5] == "no_district" and reasons[6] == "candidate" and reasons[7] == "unknown_seat"
     w = {r.filer_id: r for r in identity.identity_warnings(reasoned).collect()}
-    assert w["name:Smith"].reason == "ambiguous_seat" and w["name:Smith"].raw_names == ["Ann Smith", "Eve Smith"] and w["name:Smith"].doc_ids == ["100", "100", "104"]
+    assert w["name:Smith"].reason == "ambiguous_seat" and w["name:Smith"].raw_names == ["Ann Smith", "Eve Smith"] and w["name:Smith"].documents == 3
     assert w["name:Jones"].reason == "suspicious" and w["name:Jones"].districts == [6]
     s = identity.match_summary(filings, identity.identity_warnings(reasoned)).first()
     assert (s.matched, s.suspicious, s.candidate, s.ambiguous_seat) == (1, 2, 0, 1)
@@ -161,3 +162,44 @@ def test_partitions(filings):
     assert answers.partitions(filings, "coverage_year") == [2023] and answers.require([2023], [2022, 2023], "filings") == ([2023], [2022])
     with pytest.raises(answers.NoData):
         answers.require([], [2023], "filings")
+
+
+def test_report_and_documents_of_unmatched_filers(spark, filings, legislators):
+    reasoned = identity.unmatched_reason(identity.match_seats(filings.where("bioguide_id IS NULL"), legislators), legislators)
+    docs = identity.warning_documents(reasoned)
+    assert [r.doc_id for r in docs.where("filer_id = 'name:Smith'").orderBy("row_no").collect()] == ["100", "100", "104"]
+    told = {r.filer_id: r for r in identity.report(identity.identity_warnings(reasoned), reasoned, legislators).collect()}
+    assert set(told) == {r.filer_id for r in docs.collect()} and all(len(r.holders.split(", ")) <= identity.SHOWN_HOLDERS for r in told.values())
+
+
+def test_accents(spark):
+    names = ["Ñuñez", "Žižek", "Ａｂ", "plain", "e\u0301", "Ἀ", None, ""]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(text.unaccent(F.col("n")).alias("x")).collect()
+    assert [r.x for r in got] == ["Nunez", "Zizek", "Ab", "plain", "e", "Α", None, ""]
+
+
+def test_queue_and_payload(spark):
+    rows = spark.createDataFrame([("1", 5, "a"), ("2", 6, "b"), ("3", 7, None)], "doc_id string, coverage_year int, body string")
+    given = rows.select("doc_id", review.snapshot(rows).alias("snapshot"), F.lit(True).alias("is_fully_precise")).where("doc_id < '3'")
+    state = lambda r: {x.doc_id: x.state for x in review.queue(r, given.select("doc_id", "snapshot")).collect()}
+    assert state(rows) == {"1": "done", "2": "done", "3": "open"}
+    # A change of the body or of the filing makes a verdict stale.
+    assert state(rows.withColumn("body", F.lit("a"))) == {"1": "done", "2": "stale", "3": "open"} and state(rows.withColumn("coverage_year", F.lit(5)))["2"] == "stale"
+    shown = {r.doc_id: r for r in review.payload(rows, given).collect()}
+    assert shown["1"].verdict.is_fully_precise and shown["3"].verdict is None and shown["2"].filing.coverage_year == 6 and shown["2"].body == "b"
+
+
+def test_last_verdict_counts(spark):
+    v = spark.createDataFrame([("1", 1, "x"), ("1", 2, "y"), ("2", 1, "z")], "doc_id string, at int, note string")
+    assert {r.doc_id: r.note for r in review.latest_labels(v).collect()} == {"1": "y", "2": "z"}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tallyframe import session
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(cluster)

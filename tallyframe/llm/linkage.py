@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.names import AGREE, CONFLICT, PERHAPS, UNKNOWN, GivenNames, Name, alignment_cost, alike, compare_given, compare_middle, compare_suffix, compare_surname, fold, form_keys, learn_nicknames, read_name
-from tallyframe.session import cut_lineage
+from tallyframe.session import cut_lineage, ship
 
 # The index over the smaller side is sent to all workers only up to so many persons; beyond, candidates are joined.
 MAX_INDEXED = 50_000
@@ -267,6 +267,7 @@ def _score(given_names: GivenNames, near):
 def candidates(filings: DataFrame, legislators: DataFrame) -> DataFrame:
     """(row_no, candidates[bioguide, pattern of votes]) of each filing without bioguide_id that has a candidate."""
     spark = filings.sparkSession
+    ship(spark)
     given_names = vocabulary(legislators)
     narrow = filings.where("bioguide_id IS NULL").select(
         "row_no", F.col("filer.first").alias("first"), F.col("filer.last").alias("last"), F.col("filer.suffix").alias("suffix"),

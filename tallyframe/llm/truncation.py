@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyframe.session import cut_lineage
+from tallyframe.session import cut_lineage, ship
 
 # From which share of a source's texts a closer, an item shape and a closing shape count, and how often a closer must end
 # a line; which share of the uses of a word before a lone letter must show that the letter is no initial.
@@ -215,6 +215,7 @@ def line_habits(docs: DataFrame) -> dict:
 
     Counted over all texts; what passes is a bounded number of keys for each source and kind (see BOUND), and
     sources are few, so that the habits are small enough to be collected and sent."""
+    ship(docs.sparkSession)
     stats = docs.select("source", "text").mapInArrow(_count, _STAT).groupBy("source", "kind", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     stats = cut_lineage(stats)  # read four times below
     # The number of texts, line ends, items and lone letters: a row for each source.
@@ -342,6 +343,7 @@ _ENDING_ARROW = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("en
 
 def endings(docs: DataFrame, habits: dict) -> DataFrame:
     """(doc_id, source, ending, why, sizes): sizes holds each measure of the text and then of the text without a mark."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(habits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from tallyframe.llm.graph import components
 from tallyframe.llm.linkage import vocabulary
 from tallyframe.llm.names import AGREE, ALIGNED, CONFLICT, PERHAPS, SUFFIXES, GivenNames, Name, _tokens, align, alike, compare_given, compare_middle, compare_suffix, compare_surname, fold, form_keys, read_name
-from tallyframe.session import cut_lineage
+from tallyframe.session import cut_lineage, ship
 
 # A packed name: given|middles|surnames|suffix, each a list of words. initials, free: what a given name can begin with, and
 # whether it is none that is known (then it may begin with anything).
@@ -186,6 +186,8 @@ def near_pairs(forms: DataFrame) -> DataFrame:
     A form meets others at the hashes of its keys, sorted; forms under one key are those that are up to two letters longer
     than it, a number that the alphabet bounds. What is shuffled: the keys of each form once, and the pairs that meet."""
 
+    ship(forms.sparkSession)
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             forms = batch.column(0).to_pylist()
@@ -268,6 +270,7 @@ def _node_id(*columns: str) -> Column:
 
 def persons(entries: DataFrame, legislators: DataFrame) -> DataFrame:
     """(entry_no, run, person): entries with the same person mean the same one."""
+    ship(entries.sparkSession)
     given_names = vocabulary(legislators)
     read = cut_lineage(entry_nodes(entries, given_names).withColumn("node", _node_id("run", "state", "name")))
 

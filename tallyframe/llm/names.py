@@ -124,14 +124,14 @@ def form_keys(form: str) -> set[str]:
 class GivenNames:
     """What a typed given name can stand for: a vocabulary with nicknames and a symmetric-delete index over both."""
 
-    def __init__(self, formal: set[str], nicknames: dict[str, set[str]]):
-        self.formal = set(formal) | {part.split(":")[0].strip() for part in NICKNAMES.replace("\n", " ").split(";") if ":" in part}
+    def __init__(self, formal: set[str], nicknames: dict[str, set[str]], common: str = NICKNAMES):
+        """common: `name: nickname nickname; name: ..`, beside the nicknames learned."""
+        listed = [part.split(":") for part in common.replace("\n", " ").split(";") if ":" in part]
+        self.formal = set(formal) | {name.strip() for name, _ in listed}
         self.nick: dict[str, set[str]] = {}
-        for part in NICKNAMES.replace("\n", " ").split(";"):
-            if ":" in part:
-                name, nicks = part.split(":")
-                for n in nicks.split():
-                    self.nick.setdefault(n, set()).add(name.strip())
+        for name, nicks in listed:
+            for n in nicks.split():
+                self.nick.setdefault(n, set()).add(name.strip())
         for n, names in nicknames.items():
             self.nick.setdefault(n, set()).update(names)
         self.index: dict[str, set[str]] = {}

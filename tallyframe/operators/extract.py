@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tallyframe import types as kinds
 from tallyframe.operators import columns as C
 from tallyframe.operators import lines as L
+from tallyframe.operators.predicates import in_scope
 from tallyframe.session import ship
 
 _DOC = "doc_id"
@@ -260,7 +261,7 @@ def outcomes(filings: DataFrame, docs: DataFrame, layout: C.Layout = C.Layout(),
     f = filings.drop("pdf_class", "parse_status", "reasons").join(seen, F.col(_DOC).cast("string") == F.col("__doc"), "left")
     code = F.coalesce(F.col("filing_type.code"), F.lit(""))
     ptr = code == kinds.PTR_TYPE
-    scope = F.lit(True) if not families else F.when(ptr, "ptr").otherwise("fd").isin(*sorted(families))
+    scope = in_scope(code, families)
     klass = F.coalesce(F.col("__pdf_class"), F.lit("missing"))
     efiled = klass == "efiled"
     headless = code.isin(*kinds.ANNUAL_TYPES) & ~F.col("__headed")

@@ -38,6 +38,17 @@ def p6_delivered_once(spark: SparkSession, d: str) -> DataFrame:
     return delivery.deliver_once(table(spark, d, "independent_expenditure_2024"))
 
 
+FIRST_BATCHES = 4
+
+
+def p6_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Surplus deliveries where the first batches were decided before the others, which take up what was seen."""
+    ie = table(spark, d, "independent_expenditure_2024")
+    first, later = ie.where(F.col("batch_no") <= FIRST_BATCHES), ie.where(~F.coalesce(F.col("batch_no") <= FIRST_BATCHES, F.lit(False)))
+    surplus, seen = delivery.split_deliveries(first)
+    return surplus.unionByName(delivery.surplus_deliveries(later, seen))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return rowcheck.rejected(table(spark, d, "raw_lines"))
 
@@ -50,7 +61,7 @@ def p7_fd_rows(spark: SparkSession, d: str) -> DataFrame:
     return rowcheck.sound_rows(table(spark, d, "raw_lines"), "fd_index")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_line_items, p4_nodes, p4_amounts, p6_found, p6_delivered_once, p7_found, p7_ie_rows, p7_fd_rows)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_line_items, p4_nodes, p4_amounts, p6_found, p6_delivered_once, p6_batches, p7_found, p7_ie_rows, p7_fd_rows)}
 
 _P6_KEYED = r"""
 WITH canon AS (
@@ -139,6 +150,7 @@ SELECT body_id, schedule, CAST(unnest(generate_series(1, n)) AS INTEGER) AS item
 """,
     "p6_found": _P6_KEYED + "SELECT delivery_no FROM ranked WHERE ident_ <> '' AND rank_ > 1",
     "p6_delivered_once": _P6_KEYED + "SELECT * EXCLUDE (ident_, version_, serial_, rank_) FROM ranked WHERE ident_ = '' OR rank_ = 1",
+    "p6_batches": _P6_KEYED.replace("ORDER BY received_at", "ORDER BY batch_no IS NULL OR batch_no > 4, received_at") + "SELECT delivery_no FROM ranked WHERE ident_ <> '' AND rank_ > 1",
     "p7_found": r"""
 WITH line AS (SELECT line_no, feed, coalesce(line_text, '') AS t FROM raw_lines),
 cut AS (SELECT line_no, feed, CASE

@@ -38,7 +38,7 @@ def p6_delivered_once(spark: SparkSession, d: str) -> DataFrame:
     return delivery.deliver_once(table(spark, d, "independent_expenditure_2024"))
 
 
-FIRST_BATCHES = 4
+FIRST_BATCHES = 30
 
 
 def p6_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -150,7 +150,7 @@ SELECT body_id, schedule, CAST(unnest(generate_series(1, n)) AS INTEGER) AS item
 """,
     "p6_found": _P6_KEYED + "SELECT delivery_no FROM ranked WHERE ident_ <> '' AND rank_ > 1",
     "p6_delivered_once": _P6_KEYED + "SELECT * EXCLUDE (ident_, version_, serial_, rank_) FROM ranked WHERE ident_ = '' OR rank_ = 1",
-    "p6_batches": _P6_KEYED.replace("ORDER BY received_at", "ORDER BY batch_no IS NULL OR batch_no > 4, received_at") + "SELECT delivery_no FROM ranked WHERE ident_ <> '' AND rank_ > 1",
+    "p6_batches": _P6_KEYED.replace("ORDER BY received_at", "ORDER BY batch_no IS NULL OR batch_no > 30, received_at") + "SELECT delivery_no FROM ranked WHERE ident_ <> '' AND rank_ > 1",
     "p7_found": r"""
 WITH line AS (SELECT line_no, feed, coalesce(line_text, '') AS t FROM raw_lines),
 cut AS (SELECT line_no, feed, CASE

@@ -62,7 +62,8 @@ def page_incomplete(spark: SparkSession, d: str) -> DataFrame:
 
 def _printed_reports(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, text): an annual report of each customer, printed as the form prints it, with something in each schedule."""
-    c = table(spark, d, "customer")
+    # The table is a small file, but what is made of each row isn't small.
+    c = table(spark, d, "customer").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
     year = (F.lit(2010) + F.pmod("c_nationkey", F.lit(12))).cast("string")
     name, n = F.col("c_name"), F.col("c_custkey").cast("string")
     line = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
